@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tonnage.llm import packing, token_files
+from tonnage.llm import decontamination, packing, token_files, warc
 from tonnage.llm.common import small_batches, table
 
 
@@ -17,18 +17,32 @@ def word_bpe() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    return found.drop("items", "spans")
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     return packing.pack_documents(table(spark, sf_dir, "documents"), word_bpe(), capacity=4096, end_id=1)
 
 
+def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return warc.archived(table(spark, sf_dir, "pages"), min_bytes=0)
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     return token_files.token_file_index(table(spark, sf_dir, "documents"), word_bpe(), end_id=2)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_best_fit_packing, op10_token_files)
+    f.__name__: f for f in (op1_benchmark_decontamination, op2_best_fit_packing, op9_warc_revisits, op10_token_files)
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_benchmark_decontamination": decontamination.ORACLE,
+    "op9_warc_revisits": warc.ORACLE,
+}
