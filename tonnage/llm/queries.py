@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tonnage.llm import decontamination, packing, token_files, warc
+from tonnage.llm import decontamination, fingerprints, language, packing, token_files, warc
 from tonnage.llm.common import small_batches, table
 
 
@@ -28,6 +28,16 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), word_bpe(), capacity=4096, end_id=1)
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return language.predicted(table(spark, sf_dir, "documents"), folds=4, fold=2)
+
+
+def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return fingerprints.compared(table(spark, sf_dir, "documents"))
+
+
 def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     return warc.archived(table(spark, sf_dir, "pages"), min_bytes=0)
@@ -39,7 +49,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_benchmark_decontamination, op2_best_fit_packing, op9_warc_revisits, op10_token_files)
+    f.__name__: f for f in (op1_benchmark_decontamination, op2_best_fit_packing, op5_language_id, op7_document_fingerprints, op9_warc_revisits, op10_token_files)
 }
 
 ORACLES: dict[str, str] = {
