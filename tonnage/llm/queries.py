@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tonnage.llm import decontamination, fingerprints, language, packing, token_files, warc
+from tonnage.llm import decontamination, fingerprints, language, packing, simhash, token_files, warc
 from tonnage.llm.common import small_batches, table
 
 
@@ -38,6 +38,11 @@ def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compared(table(spark, sf_dir, "documents"))
 
 
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, distance=4)
+
+
 def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     return warc.archived(table(spark, sf_dir, "pages"), min_bytes=0)
@@ -49,7 +54,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_benchmark_decontamination, op2_best_fit_packing, op5_language_id, op7_document_fingerprints, op9_warc_revisits, op10_token_files)
+    f.__name__: f for f in (op1_benchmark_decontamination, op2_best_fit_packing, op5_language_id, op7_document_fingerprints, op8_simhash_near_dedup, op9_warc_revisits, op10_token_files)
 }
 
 ORACLES: dict[str, str] = {
