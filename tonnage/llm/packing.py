@@ -33,12 +33,13 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) ->
     """doc_id, piece, start, length, ids_crc32 of each piece; only documents longer than ``capacity`` are cut."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(tokenizer).encode, np.uint32(end_id).tobytes()
+        model = encoder(tokenizer)
+        end = np.array([end_id], model.kind)
         for whole in batches:
             for batch in slices(whole, 1, 8 << 20):
                 rows: list[list] = [[], [], [], [], []]
-                for key, ids in zip(batch.column(0).to_pylist(), encode([x or b"" for x in text_bytes(batch.column(1))])):
-                    ids += end
+                for key, ids in zip(batch.column(0).to_pylist(), model.encode([x or b"" for x in text_bytes(batch.column(1))])):
+                    ids = np.append(np.frombuffer(ids, model.kind), end).astype("<u4").tobytes()
                     for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[at : at + 4 * capacity]
                         for column, value in zip(rows, (key, k, at // 4, len(part) // 4, zlib.crc32(part))):

@@ -14,7 +14,6 @@ task run again on another machine leaves no half-written file.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,14 +35,15 @@ def encoder(path: str) -> ChunkEncoder:
 
 
 def tokenized(docs: DataFrame, tokenizer: str, end_id: int, text_column: str = "text") -> DataFrame:
-    """doc_id, n_tokens, ids (little-endian unsigned 32-bit) of every row; a null text is empty."""
+    """doc_id, n_tokens, ids (little-endian unsigned, all of one width) of every row; a null text is empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(tokenizer).encode, np.uint32(end_id).tobytes()
+        model = encoder(tokenizer)
+        end = np.array([end_id], model.kind).tobytes()
         for whole in batches:
             for batch in slices(whole, 1, 8 << 20):
-                ids = [x + end for x in encode([x or b"" for x in text_bytes(batch.column(1))])]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "n_tokens", "ids"])
+                ids = [x + end for x in model.encode([x or b"" for x in text_bytes(batch.column(1))])]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) // model.width for x in ids], pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "n_tokens", "ids"])
 
     return docs.select("doc_id", text_column).mapInArrow(run, "doc_id long, n_tokens long, ids binary")
 
@@ -105,17 +105,13 @@ def write_token_files(tokens: DataFrame, path: str, vocabulary: int = 1 << 17, b
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(vocabulary, np.int64)
         for batch in batches:
-            for raw in batch.column(0).to_pylist():
-                total += 0 if not raw else np.bincount(np.frombuffer(raw, "<u4"), minlength=vocabulary)
+            raw, n = b"".join(batch.column(1).to_pylist()), sum(batch.column(0).to_pylist())
+            if n:
+                total += np.bincount(np.frombuffer(raw, f"<u{len(raw) // n}"), minlength=vocabulary)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], names=["id", "n"])
 
-    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, 0, 32 << 20):
-                yield pa.RecordBatch.from_arrays([pa.array([b"".join(x or b"" for x in part.column(0).to_pylist())], pa.binary())], names=["ids"])
-
-    counts = tokens.select("ids").mapInArrow(joined, "ids binary").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = tokens.select("n_tokens", "ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     found = counts.orderBy(F.desc("n"), "id").collect()
     if len(found) > vocabulary:
         raise ValueError("more ids than the vocabulary allows")
@@ -127,27 +123,29 @@ def write_token_files(tokens: DataFrame, path: str, vocabulary: int = 1 << 17, b
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank, keys, lengths, raws, held = shared.value, [], [], [], 0
+        _ENCODER.clear()  # a worker that has tokenized is used again
 
         def out() -> pa.RecordBatch:
-            block = _block(keys, lengths, rank[np.frombuffer(b"".join(raws), "<u4")])
+            raw = b"".join(raws)
+            block = _block(keys, lengths, rank[np.frombuffer(raw, f"<u{len(raw) // held if held else 2}")])
             return pa.RecordBatch.from_arrays([pa.array([block], pa.binary())], names=["block"])
 
         for batch in batches:
-            for key, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if held and held + len(raw) // 4 > block_ids:
+            for key, n, raw in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                if held and held + n > block_ids:
                     yield out()
                     keys, lengths, raws, held = [], [], [], 0
                 keys.append(key)
-                lengths.append(len(raw) // 4)
+                lengths.append(n)
                 raws.append(raw)
-                held += len(raw) // 4
+                held += n
         if keys:
             yield out()
 
     total = tokens.agg(F.sum("n_tokens")).first()[0] or 0
     order = ["doc_id", "n_tokens", F.crc32("ids")]  # so that one repeated doc_id does not fill a partition
     parts = tokens.repartitionByRange(max(1, -(-total // file_ids)), *order).sortWithinPartitions(*order)
-    packed = parts.select("doc_id", "ids").mapInArrow(encode, "block binary")
+    packed = parts.select("doc_id", "n_tokens", "ids").mapInArrow(encode, "block binary")
     packed.select(F.col("block").cast("string").alias("value")).write.option("lineSep", "\n").text(f"{path}/blocks")
 
 
@@ -158,6 +156,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = shared.value
+        _ENCODER.clear()
         for batch in batches:
             for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 before = 0

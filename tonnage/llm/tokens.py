@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import os
 import re
-from itertools import chain
 
 import numpy as np
 
@@ -29,14 +28,16 @@ _PIECES = re.compile(f"[{_LATIN}]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^\\s{_LATIN}0-
 
 
 class ChunkEncoder:
-    """Encodes UTF-8 texts to little-endian unsigned 32-bit ids, with a bounded cache."""
+    """Encodes UTF-8 texts to little-endian unsigned ids (``kind``: of 16 bits where they fit), with a bounded cache."""
 
-    def __init__(self, path: str, cache_pieces: int = 400_000) -> None:
+    def __init__(self, path: str, cache_pieces: int = 1_000_000) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
+        self.kind = "<u2" if max(vocabulary.values()) < 1 << 16 else "<u4"
+        self.width = int(self.kind[-1])
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.cache: dict[str, bytes] = {}
@@ -44,17 +45,17 @@ class ChunkEncoder:
 
     def whole(self, text: bytes) -> bytes:
         ids = self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids
-        return np.asarray(ids, "<u4").tobytes()
+        return np.asarray(ids, self.kind).tobytes()
 
     def _each(self, fresh: list[str]) -> list[bytes]:
         """The ids of each of ``fresh`` (one pre-token each, as a rule)."""
         out: list[bytes] = []
         groups = [fresh[i : i + 512] for i in range(0, len(fresh), 512)]
         for group, found in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
-            ids = np.asarray(found.ids, "<u4")
+            ids = np.asarray(found.ids, self.kind)
             ends = np.flatnonzero(self.ends_word[ids]) + 1
             if len(ends) == len(group) and ends[-1] == len(ids):
-                raw, cuts = ids.tobytes(), (ends * 4).tolist()
+                raw, cuts = ids.tobytes(), (ends * self.width).tolist()
                 out += [raw[a:b] for a, b in zip([0, *cuts], cuts)]
             else:
                 out += [self.whole(x.encode()) for x in group]
@@ -75,13 +76,16 @@ class ChunkEncoder:
         for raw in texts:
             text = raw.translate(ASCII_LOWER).decode("utf-8", "replace")
             split.append(None if "<|" in text else _PIECES(text) if _PLAIN(text) else self._chunked(text))
-        used = set(chain.from_iterable(x for x in split if x))
-        wanted = used.difference(self.cache)
-        if len(self.cache) + len(wanted) > self.cache_pieces:
+        if len(self.cache) > self.cache_pieces:
             self.cache.clear()
-            wanted = used
+        get = self.cache.get
+        parts = [None if x is None else list(map(get, x)) for x in split]
+        gaps = [[k for k, v in enumerate(x) if v is None] if x else () for x in parts]
+        wanted = {pieces[k] for pieces, at in zip(split, gaps) for k in at}
         plain = [x for x in wanted if _PLAIN(x)]
         self.cache.update(zip(plain, self._each(plain)))
         self.cache.update((x, self.whole(x.encode())) for x in wanted.difference(plain))
-        get = self.cache.__getitem__
-        return [self.whole(t) if x is None else b"".join(map(get, x)) for t, x in zip(texts, split)]
+        for pieces, found, at in zip(split, parts, gaps):
+            for k in at:
+                found[k] = self.cache[pieces[k]]
+        return [self.whole(t) if x is None else b"".join(x) for t, x in zip(texts, parts)]
