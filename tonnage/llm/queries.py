@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tonnage.llm import decontamination, fingerprints, language, packing, simhash, token_files, warc
+from tonnage.llm import decontamination, fingerprints, language, packing, repeats, simhash, token_files, warc
 from tonnage.llm.common import small_batches, table
 
 
@@ -28,6 +29,12 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), word_bpe(), capacity=4096, end_id=1)
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    found = repeats.without_repeats(table(spark, sf_dir, "documents"), length=100)
+    return found.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     return language.predicted(table(spark, sf_dir, "documents"), folds=4, fold=2)
@@ -54,10 +61,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_benchmark_decontamination, op2_best_fit_packing, op5_language_id, op7_document_fingerprints, op8_simhash_near_dedup, op9_warc_revisits, op10_token_files)
+    f.__name__: f for f in (op1_benchmark_decontamination, op2_best_fit_packing, op4_suffix_array_dedup, op5_language_id, op7_document_fingerprints, op8_simhash_near_dedup, op9_warc_revisits, op10_token_files)
 }
 
 ORACLES: dict[str, str] = {
     "op1_benchmark_decontamination": decontamination.ORACLE,
+    "op4_suffix_array_dedup": repeats.ORACLE,
     "op9_warc_revisits": warc.ORACLE,
 }
