@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonnage.llm import decontamination, fingerprints, language, packing, repeats, simhash, token_files, warc
+from tonnage.llm import decontamination, fingerprints, language, lines, packing, repeats, simhash, token_files, warc
 from tonnage.llm.common import small_batches, table
 
 
@@ -40,6 +40,11 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predicted(table(spark, sf_dir, "documents"), folds=4, fold=2)
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return lines.without_repeated_runs(table(spark, sf_dir, "documents"), run=2, long_words=20).drop("kept")
+
+
 def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     return fingerprints.compared(table(spark, sf_dir, "documents"))
@@ -61,11 +66,12 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_benchmark_decontamination, op2_best_fit_packing, op4_suffix_array_dedup, op5_language_id, op7_document_fingerprints, op8_simhash_near_dedup, op9_warc_revisits, op10_token_files)
+    f.__name__: f for f in (op1_benchmark_decontamination, op2_best_fit_packing, op4_suffix_array_dedup, op5_language_id, op6_line_dedup, op7_document_fingerprints, op8_simhash_near_dedup, op9_warc_revisits, op10_token_files)
 }
 
 ORACLES: dict[str, str] = {
     "op1_benchmark_decontamination": decontamination.ORACLE,
     "op4_suffix_array_dedup": repeats.ORACLE,
+    "op6_line_dedup": lines.ORACLE,
     "op9_warc_revisits": warc.ORACLE,
 }
