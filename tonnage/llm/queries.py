@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonnage.llm import decontamination, fingerprints, language, lines, packing, repeats, simhash, token_files, warc
+from tonnage.llm import decontamination, fingerprints, language, lines, packing, repeats, scoring, simhash, token_files, warc
 from tonnage.llm.common import small_batches, table
 
 
@@ -29,6 +29,12 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), word_bpe(), capacity=4096, end_id=1)
 
 
+def op3_ppm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    docs, block = scoring.file_blocks(table(spark, sf_dir, "documents"))
+    return scoring.scored(docs, block=block, folds=5, fold=1)
+
+
 def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     found = repeats.without_repeats(table(spark, sf_dir, "documents"), length=100)
@@ -66,7 +72,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_benchmark_decontamination, op2_best_fit_packing, op4_suffix_array_dedup, op5_language_id, op6_line_dedup, op7_document_fingerprints, op8_simhash_near_dedup, op9_warc_revisits, op10_token_files)
+    f.__name__: f for f in (op1_benchmark_decontamination, op2_best_fit_packing, op3_ppm_scoring, op4_suffix_array_dedup, op5_language_id, op6_line_dedup, op7_document_fingerprints, op8_simhash_near_dedup, op9_warc_revisits, op10_token_files)
 }
 
 ORACLES: dict[str, str] = {
