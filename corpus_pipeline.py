@@ -1,5 +1,76 @@
-"""A corpus pipeline of the training-data operators."""
+"""A corpus pipeline: language ID, line dedup, near-dedup, decontamination, packing.
 
-STAGES = []
+Each stage works on all rows its predecessor kept; all but the last return the columns of
+``documents``.  Stages are written as Parquet to the shared folder and read again.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tonnage.llm import decontamination, language, lines, packing, simhash
+from tonnage.llm.common import small_batches, staged, table
+from tonnage.llm.queries import word_bpe
+
+#: A document whose language is less likely than this is rejected, as is one without any letter.
+LEAST_SCORE = 0.5
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a language: the classifier learns from every labelled document."""
+    small_batches(spark)
+    model = language.train(docs)
+    found = language.identify(docs, model, keep=tuple(docs.columns))
+    return found.where((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later repeated runs of lines are deleted; a document of which nothing is left stays, empty."""
+    small_batches(spark)
+    found = lines.without_repeated_runs(docs, run=2, long_words=20, keep=tuple(docs.columns))
+    changed = F.col("n_removed") > 0
+    text = F.when(changed, F.col("kept")).otherwise(F.col("text"))
+    n_chars = F.when(changed, F.length("kept").cast("long")).otherwise(F.col("n_chars"))
+    columns = {"text": text, "n_chars": n_chars}
+    return found.select(*(columns.get(c, F.col(c)).alias(c) for c in docs.columns))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: five-word shingles, similarity of 0.8."""
+    small_batches(spark)
+    return simhash.one_of_each(docs, shingle=5)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any ten-word window of the benchmark."""
+    small_batches(spark)
+    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"), window=10, keep=tuple(docs.columns))
+    return found.where("not contaminated").select(*docs.columns)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of at most 4096 ids."""
+    small_batches(spark)
+    return packing.pack_documents(docs, word_bpe(), capacity=4096, end_id=1)
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontaminated),
+    ("packing", best_fit_packing),
+]
+
+#: Tokenizer ids, SimHash groups and a trained classifier have no SQL form.
 ORACLE_SQL = None
-def run(spark, sf_dir): raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for k, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            docs = staged(docs, name)
+    return docs

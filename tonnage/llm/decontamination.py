@@ -55,8 +55,8 @@ def _automaton(items: list[tuple[str, bytes]], window: int):
     return number, found
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, block_words: int = 400_000) -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items, spans.
+def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, block_words: int = 400_000, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """One row per document: ``keep`` columns, n_words, n_hit, n_items, items_sha256, contaminated, items, spans.
 
     ``spans`` are the character ranges of the text that runs of hit words cover.  Null text: no words.
     Null item text or an item without words: nothing to find.  Null item_id: an item named by the
@@ -67,16 +67,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, bl
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.col("text").cast("binary").alias("text")).where("text is not null")
     total = items.agg(F.sum(F.size(F.split(F.col("text").cast("string"), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")))).first()[0] or 0
     n_blocks = max(1, -(-total // block_words))
-    scanned = docs.select("doc_id", "text", F.lit(None).cast("array<long>").alias("hit"), F.lit(None).cast("array<string>").alias("items"))
-    kinds = "doc_id long, text string, hit array<long>, items array<string>"
+    kept = [F.col(c).alias(f"__{k}") for k, c in enumerate(keep)]
+    scanned = docs.select(*kept, F.col("text").alias("__text"), F.lit(None).cast("array<long>").alias("__hit"), F.lit(None).cast("array<string>").alias("__items"))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in scanned.schema)
     for block in range(n_blocks):
         mine = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks)) == block)
         shared = spark.sparkContext.broadcast([(r["item"], bytes(r["text"])) for r in mine.collect()])
         scanned = scanned.mapInArrow(_scan(shared, window), kinds)
         if block + 1 < n_blocks:
             scanned = staged(scanned, "decontamination")
-    out = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<string>, spans array<struct<start: long, end: long>>"
-    return scanned.mapInArrow(_summary, out)
+    carried = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in scanned.schema[: len(keep)])
+    out = f"{carried}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<string>, spans array<struct<start: long, end: long>>"
+    found = scanned.mapInArrow(_summary, out)
+    return found.select(*(F.col(f"__{k}").alias(c) for k, c in enumerate(keep)), *found.columns[len(keep) :])
 
 
 def _scan(shared, window: int):
@@ -86,8 +89,9 @@ def _scan(shared, window: int):
         number, automaton = remembered(_AUTOMATON, key, lambda: _automaton(shared.value, window))
         get = number.get
         for batch in batches:
-            hits, names = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            for row, text in enumerate(text_bytes(batch.column(1))):
+            *carried, text_column, hit_column, item_column = batch.columns
+            hits, names = hit_column.to_pylist(), item_column.to_pylist()
+            for row, text in enumerate(text_bytes(text_column)):
                 if not text or not number:
                     continue
                 sequence = tuple([get(w, 0) for w in words(text)])
@@ -102,7 +106,7 @@ def _scan(shared, window: int):
                 if found:
                     hits[row] = sorted({*(hits[row] or ()), *np.flatnonzero(np.cumsum(covered) > 0).tolist()})
                     names[row] = sorted({*(names[row] or ()), *found})
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(hits, pa.list_(pa.int64())), pa.array(names, pa.list_(pa.string()))], names=["doc_id", "text", "hit", "items"])
+            yield pa.RecordBatch.from_arrays([*carried, text_column, pa.array(hits, pa.list_(pa.int64())), pa.array(names, pa.list_(pa.string()))], names=batch.schema.names)
 
     return run
 
@@ -110,7 +114,8 @@ def _scan(shared, window: int):
 def _summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
-        for doc, text, hit, items in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+        *carried, text_column, hit_column, item_column = batch.columns
+        for text, hit, items in zip(text_bytes(text_column), hit_column.to_pylist(), item_column.to_pylist()):
             hit, items, spans = hit or [], items or [], []
             if hit:
                 starts, ends = word_spans(text)
@@ -118,10 +123,10 @@ def _summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 cut = np.flatnonzero(np.diff(at) > 1)
                 first, last = at[np.concatenate(([0], cut + 1))], at[np.concatenate((cut, [len(at) - 1]))]
                 spans = [{"start": int(s), "end": int(e)} for s, e in zip(starts[first], ends[last])]
-            rows.append((doc, len(words(text or b"")), len(hit), len(items), hashlib.sha256(",".join(items).encode()).hexdigest(), bool(hit), items, spans))
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.list_(pa.string()), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
-        names = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "items", "spans"]
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=names)
+            rows.append((len(words(text or b"")), len(hit), len(items), hashlib.sha256(",".join(items).encode()).hexdigest(), bool(hit), items, spans))
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.list_(pa.string()), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
+        names = [*batch.schema.names[: len(carried)], "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "items", "spans"]
+        yield pa.RecordBatch.from_arrays([*carried, *(pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds))], names=names)
 
 
 #: The same rows in SQL: windows by position, joined with the items' windows.
