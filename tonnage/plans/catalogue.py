@@ -2,7 +2,34 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+class Tables:
+    """The driver's tables by name: ``t.orders`` reads ``orders``."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def __getattr__(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+
+
+def query(sql: str | None = None):
+    """Registers a function of :class:`Tables` under its name, with its oracle."""
+
+    def register(f: Callable[[Tables], DataFrame]):
+        QUERIES[f.__name__] = lambda spark, sf_dir: f(Tables(spark, sf_dir))
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return register
+
+
+from tonnage.plans import queries_aggregates, queries_columns, queries_extensions, queries_joins, queries_rules  # noqa: E402, F401
