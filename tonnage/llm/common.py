@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,9 +69,7 @@ def offsets_of(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def slices(batch: pa.RecordBatch, size_of: int, limit: int) -> Iterator[pa.RecordBatch]:
     """``batch`` in slices of about ``limit`` bytes of column ``size_of``; a larger row is a slice of its own."""
-    column = batch.column(size_of)
-    sizes = np.array(column.cast(pa.large_binary()).fill_null(b"").to_pylist(), dtype=object)
-    ends = np.cumsum([len(x) for x in sizes]) if len(sizes) else np.zeros(0)
+    ends = np.cumsum(pc.binary_length(batch.column(size_of)).fill_null(0).to_numpy(zero_copy_only=False))
     start = 0
     while start < batch.num_rows:
         before = ends[start - 1] if start else 0

@@ -89,12 +89,21 @@ def anchors(texts: list[bytes], length: int) -> np.ndarray:
     return out
 
 
+def _planes(found: np.ndarray) -> bytes:
+    """``found`` byte by byte of its rows: the high bytes, mostly zero, then compress."""
+    return found.view(np.uint8).reshape(-1, found.itemsize).T.tobytes()
+
+
+def _from_planes(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, np.uint8).reshape(_ANCHOR.itemsize, -1).T.copy().view(_ANCHOR).ravel()
+
+
 def _deal(length: int, buckets: int):
     """Anchors in one binary value for each slice and bucket: half the size of rows, and no work by row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, 2, 8 << 20):
+            for batch in slices(whole, 2, 2 << 20):
                 found = anchors([x or b"" for x in text_bytes(batch.column(2))], length)
                 if not len(found):
                     continue
@@ -108,7 +117,7 @@ def _deal(length: int, buckets: int):
                 for k in np.flatnonzero(np.diff(bounds)).tolist():
                     part = found[bounds[k] : bounds[k + 1]].copy()
                     used, part["doc"] = np.unique(part["doc"], return_inverse=True)
-                    for column, value in zip(rows, (k, docs[used].tobytes(), part.tobytes())):
+                    for column, value in zip(rows, (k, docs[used].tobytes(), _planes(part))):
                         column.append(value)
                 yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), pa.array(rows[1], pa.binary()), pa.array(rows[2], pa.binary())], names=["bucket", "docs", "anchors"])
 
@@ -119,7 +128,7 @@ def _matched(length: int, most_contexts: int):
     """Of each bucket's anchors: repeats as a whole (kind 0), contexts to sort (1), contexts to class by digest (2)."""
 
     def solve(docs: list[bytes], parts: list[bytes]) -> Iterator[pa.RecordBatch]:
-        tables, found = [np.frombuffer(x, _DOC) for x in docs], [np.frombuffer(x, _ANCHOR) for x in parts]
+        tables, found = [np.frombuffer(x, _DOC) for x in docs], [_from_planes(x) for x in parts]
         base = np.repeat(np.cumsum([0, *map(len, tables)])[:-1], [len(x) for x in found])
         table, a = np.concatenate(tables), np.concatenate(found)
         _, key, again = np.unique(table, return_index=True, return_inverse=True)  # documents in order: none last
@@ -159,27 +168,60 @@ def _matched(length: int, most_contexts: int):
     return run
 
 
-def _contexts(length: int):
-    """The bytes of contexts to sort; of contexts to class by digest, a row for each string."""
+def _contexts(length: int, most_strings: int = 50_000):
+    """The bytes of contexts to sort (kind 1).
+
+    Of contexts to class by digest: of equal strings that a task meets only the first is given (2), since
+    the others are repeats (0) whatever other tasks meet.
+    """
+    names, kinds = ["kind", "doc_id", "th", "h", "at", "n", "context", "d1", "d2"], (pa.int8(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64())
+
+    def table(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=names)
+
+    def classed(strings: list[tuple]) -> Iterator[pa.RecordBatch]:
+        first: dict[bytes, tuple] = {}
+        for digest, place in strings:
+            if digest not in first or place < first[digest]:
+                first[digest] = place
+        rows, again = [], []
+        for digest, (none, doc, th, at) in first.items():
+            d = np.frombuffer(digest, np.int64)
+            rows.append((2, None if none else doc, th, None, at, 1, None, int(d[0]), int(d[1])))
+        for digest, place in strings:
+            if place > first[digest]:
+                again.append(place)
+        begin = last = None
+        for place in [*sorted(again), None]:
+            if last and place != (*last[:3], last[3] + 1) and place != last:
+                none, doc, th, at = begin
+                rows.append((0, None if none else doc, th, None, at, last[3] - at + 1, None, None, None))
+                begin = None
+            begin, last = begin or place, place
+        for at in range(0, len(rows), 20_000):
+            yield table(rows[at : at + 20_000])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, kinds = ["doc_id", "th", "h", "at", "context", "d1", "d2"], (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64())
+        strings: list[tuple] = []
         for batch in batches:
             rows: list[tuple] = []
             for doc, th, text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), text_bytes(batch.column(2)), batch.column(3).to_pylist()):
                 for w in wanted:
                     at, n = w["at"], w["n"]
                     if w["kind"] == 1:
-                        rows.append((doc, th, w["h"], at, text[at : at + n - 1 + length], None, None))
+                        rows.append((1, doc, th, w["h"], at, n, text[at : at + n - 1 + length], None, None))
                     else:
-                        for k in range(at, at + n):
-                            d = np.frombuffer(xxhash.xxh3_128_digest(text[k : k + length]), np.int64)
-                            rows.append((doc, th, w["h"], k, None, int(d[0]), int(d[1])))
+                        strings += [(xxhash.xxh3_128_digest(text[k : k + length]), (doc is None, doc or 0, th, k)) for k in range(at, at + n)]
                 if len(rows) > 10_000:
-                    yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=names)
+                    yield table(rows)
                     rows = []
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=names)
+                yield table(rows)
+            if len(strings) > most_strings:
+                yield from classed(strings)
+                strings = []
+        if strings:
+            yield from classed(strings)
 
     return run
 
@@ -188,7 +230,7 @@ def repeated_strings(groups: list[list[bytes]], length: int) -> list[np.ndarray]
     """For each group of contexts, in order of place: [context, first, last] of runs of strings that start earlier too."""
     texts, owners = [], []
     for contexts in groups:  # contexts are set apart by 1, the bytes are 2 and more
-        text = np.frombuffer(b"\0".join(contexts) + b"\0", np.uint8).astype(np.int64) + 2
+        text = np.frombuffer(b"\0".join(contexts) + b"\0", np.uint8).astype(np.int32) + 2
         ends = np.cumsum([len(c) + 1 for c in contexts])
         text[ends - 1] = 1
         texts.append(text)
@@ -216,7 +258,7 @@ def repeated_strings(groups: list[list[bytes]], length: int) -> list[np.ndarray]
     return out
 
 
-def _sorted_contexts(length: int, batch_bytes: int = 4 << 20):
+def _sorted_contexts(length: int, batch_bytes: int = 3 << 19):
     """Repeats among the contexts of each anchor; rows come sorted by anchor and place."""
 
     def solve(groups: list[list[tuple]]) -> pa.RecordBatch:
@@ -240,6 +282,8 @@ def _sorted_contexts(length: int, batch_bytes: int = 4 << 20):
                         groups, held = [], 0
                     groups.append([])
                     current = h
+                elif groups[-1][-1][:3] == (doc, th, at):  # rows that are the same document
+                    continue
                 groups[-1].append((doc, th, at, context))
                 held += len(context)
         if groups:
@@ -248,7 +292,7 @@ def _sorted_contexts(length: int, batch_bytes: int = 4 << 20):
     return run
 
 
-def repeats(docs: DataFrame, *, length: int = 100, bucket_bytes: int = 16 << 20, most_contexts: int = 256) -> DataFrame:
+def repeats(docs: DataFrame, *, length: int = 100, bucket_bytes: int = 8 << 20, most_contexts: int = 256) -> DataFrame:
     """doc_id, th, start, end: byte ranges to remove; they may overlap.  ``docs``: doc_id, th (hash of the text), text."""
     size = docs.agg(F.sum(F.length(F.col("text").cast("binary")))).first()[0] or 0
     buckets = int(max(16, size // bucket_bytes))
@@ -257,15 +301,15 @@ def repeats(docs: DataFrame, *, length: int = 100, bucket_bytes: int = 16 << 20,
     found = staged(dealt.mapInArrow(_matched(length, most_contexts), "kind byte, doc_id long, th long, h long, at int, n int"), "anchors")
     wanted = found.where("kind > 0").groupBy("doc_id", "th").agg(F.collect_list(F.struct("kind", "h", "at", "n")).alias("wanted"))
     joined = with_lists(docs.select("doc_id", "th", "text"), wanted, "inner").select("doc_id", "th", "text", "wanted")
-    rows = staged(joined.mapInArrow(_contexts(length), "doc_id long, th long, h long, at int, context binary, d1 long, d2 long"), "contexts")
-    contexts = rows.where("context is not null").dropDuplicates(["doc_id", "th", "h", "at"]).repartition("h")
+    rows = staged(joined.mapInArrow(_contexts(length), "kind byte, doc_id long, th long, h long, at int, n int, context binary, d1 long, d2 long"), "contexts")
+    contexts = rows.where("kind = 1").repartition("h")
     contexts = contexts.sortWithinPartitions("h", F.col("doc_id").asc_nulls_last(), "th", "at").select("h", "doc_id", "th", "at", "context")
     by_array = contexts.mapInArrow(_sorted_contexts(length), "doc_id long, th long, start int, end int")
-    strings = rows.where("context is null").select("d1", "d2", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", "at").alias("place"))
+    strings = rows.where("kind = 2").select("d1", "d2", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", "at").alias("place"))
     classes = strings.groupBy("d1", "d2").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1")
     again = strings.join(classes, ["d1", "d2"]).where(F.col("place") > F.col("first"))
     by_digest = again.select("place.doc_id", "place.th", F.col("place.at").alias("start"), (F.col("place.at") + length).alias("end"))
-    whole = found.where("kind = 0").select("doc_id", "th", F.col("at").alias("start"), (F.col("at") + F.col("n") - 1 + length).alias("end"))
+    whole = found.where("kind = 0").select("doc_id", "th", "at", "n").unionByName(rows.where("kind = 0").select("doc_id", "th", "at", "n")).select("doc_id", "th", F.col("at").alias("start"), (F.col("at") + F.col("n") - 1 + length).alias("end"))
     return whole.unionByName(by_array).unionByName(by_digest)
 
 
@@ -295,7 +339,7 @@ def without(text: bytes, ranges: list[tuple[int, int]]) -> bytes:
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]
     for whole in batches:
-        for batch in slices(whole, 1, 16 << 20):
+        for batch in slices(whole, 1, 4 << 20):
             rows = []
             for doc, text, found in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), batch.column(2).to_pylist()):
                 text, spans = text or b"", merged([(x["start"], x["end"]) for x in found or ()])

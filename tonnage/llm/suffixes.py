@@ -23,7 +23,7 @@ def suffix_arrays(texts: list[np.ndarray]) -> list[np.ndarray]:
     first = np.cumsum(lengths + 1) - lengths  # a guard slot goes before every text
     last = first + lengths - 1
     total = int(last[-1]) + 1
-    symbols = np.full(total, -1, np.int64)
+    symbols = np.full(total, -1, np.int32)
     owner = np.zeros(total, np.int64)
     for k, text in enumerate(texts):
         symbols[first[k] : last[k]] = text
@@ -38,18 +38,18 @@ def _group(symbols: np.ndarray, owner: np.ndarray, first: np.ndarray, last: np.n
     total = len(symbols)
     inside = np.flatnonzero(symbols >= 0)
     width = int(symbols.max()) + 1
-    order = np.full(total, -1, np.int64)
+    order = np.full(total, -1, np.int32)
     order[inside] = inside[np.argsort(owner[inside] * width + symbols[inside], kind="stable")]
-    position = np.empty(total, np.int64)
+    position = np.empty(total, np.int32)
     position[order[inside]] = inside
     key = owner[order[inside]] * width + symbols[order[inside]]
     opens = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
     starts = inside[opens]
-    size = np.zeros(total, np.int64)
+    size = np.zeros(total, np.int32)
     size[starts] = np.diff(np.concatenate((opens, [len(inside)])))
-    group = np.full(total, -1, np.int64)
+    group = np.full(total, -1, np.int32)
     group[order[inside]] = np.repeat(starts, size[starts])
-    prev = np.arange(-1, total - 1)
+    prev = np.arange(-1, total - 1, dtype=np.int32)
     marked = np.zeros(total, bool)
     current = group[order[last]]  # the highest group of every text
     while len(current):
@@ -94,9 +94,9 @@ def _group(symbols: np.ndarray, owner: np.ndarray, first: np.ndarray, last: np.n
 
 def _emit(group: np.ndarray, prev: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     total = len(group)
-    ranked = np.full(total, -1, np.int64)
+    ranked = np.full(total, -1, np.int32)
     placed = group < 0  # the guards
-    filled = np.zeros(total, np.int64)
+    filled = np.zeros(total, np.int32)
     ranked[first] = last
     placed[last] = True
     step, active = 0, np.arange(len(first))
