@@ -71,7 +71,8 @@ def repeated_runs(docs: DataFrame, run: int, long_words: int) -> DataFrame:
     kinds = "doc_id long, th long, h long, runs array<struct<first: int, n: int, d1: long, d2: long>>"
     chosen = staged(docs.select("doc_id", "th", "text").mapInArrow(_emit(run, long_words), kinds), "winnowed")
     shared = staged(chosen.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h"), "shared")
-    strings = chosen.join(shared, "h").select("doc_id", "th", F.explode("runs").alias("r")).select("r.d1", "r.d2", "r.n", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", "r.first").alias("place"))
+    # a merge join at every size: the shared hashes grow with the corpus
+    strings = chosen.join(shared.hint("merge"), "h").select("doc_id", "th", F.explode("runs").alias("r")).select("r.d1", "r.d2", "r.n", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", "r.first").alias("place"))
     classes = strings.groupBy("d1", "d2", "n").agg(F.min("place").alias("earliest"), F.count("*").alias("c")).where("c > 1").drop("c")
     again = strings.join(classes, ["d1", "d2", "n"]).where("place > earliest")
     return again.select("place.doc_id", "place.th", "place.first", "n")
