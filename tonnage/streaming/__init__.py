@@ -1,0 +1 @@
+"""Event-time extensions: the same aggregates over a stream as over a table."""
