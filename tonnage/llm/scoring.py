@@ -239,6 +239,28 @@ def _answer(shared):
     return run
 
 
+class _Lookup:
+    """Values of sorted distinct keys: most are found in one slot of a sparse table, the rest by bisection."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
+        self.keys, self.values = keys, values.astype(np.float64)
+        bits = max(4, int(4 * len(keys)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        slot = self._slot(keys)
+        self.slot_keys, self.slot_values = np.full(1 << bits, ~np.uint64(0)), np.zeros(1 << bits)
+        self.slot_keys[slot], self.slot_values[slot] = keys, self.values
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        slot = self._slot(keys)
+        out = self.slot_values[slot]
+        rest = np.flatnonzero(self.slot_keys[slot] != keys)
+        out[rest] = self.values[np.searchsorted(self.keys, keys[rest])]
+        return out
+
+
 def _score(vocabulary: int, tokens: int):
     """Scores of one block's documents from the answers to what it asked."""
     missing = np.log10(tokens + 0.5 * (vocabulary + 1))
@@ -253,6 +275,7 @@ def _score(vocabulary: int, tokens: int):
                 keys, values = (np.concatenate(x) for x in zip(*parts))
                 rank = np.argsort(keys)
                 tables[kind] = keys[rank], values[rank]
+        lookup = _Lookup(*tables[_WINDOWS])
         cost: dict[bytes, float] = {}
         unknown: set[bytes] = set()
         rows: list[tuple] = []
@@ -264,9 +287,8 @@ def _score(vocabulary: int, tokens: int):
                 counts = values[np.searchsorted(keys, np.fromiter(map(_word_hash, fresh), np.uint64, len(fresh)))]
                 cost.update(zip(fresh, np.log10(counts + 0.5).tolist()))
                 unknown.update(w for w, c in zip(fresh, counts.tolist()) if not c)
-                keys, values = tables[_WINDOWS]
                 asked, n = windows([b" ".join(x) for x in lists])
-                lengths = np.add.reduceat(values[np.searchsorted(keys, asked)].astype(np.float64), np.cumsum(n) - n)
+                lengths = np.add.reduceat(lookup(asked), np.cumsum(n) - n)
                 for doc, unseen, x, score in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), lists, lengths.tolist()):
                     x = [*x, _END_WORD]
                     known = len(x) - sum(map(unknown.__contains__, x))
