@@ -78,12 +78,20 @@ def slices(batch: pa.RecordBatch, size_of: int, limit: int) -> Iterator[pa.Recor
         start = stop
 
 
-def remembered(cache: dict, key, build):
-    """``build()`` once per Python worker and key; only the latest value is kept."""
-    if key not in cache:
-        cache.clear()
-        cache[key] = build()
-    return cache[key]
+_HELD: dict = {}
+
+
+def remembered(key, build):
+    """``build()`` once per Python worker and key; a worker holds one such value at a time."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = build()
+    return _HELD[key]
+
+
+def forget() -> None:
+    """Drops what this Python worker has kept for another operator."""
+    _HELD.clear()
 
 
 def id_text(column: str) -> Column:

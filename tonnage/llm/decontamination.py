@@ -23,7 +23,6 @@ from tonnage.llm.common import remembered, staged, text_bytes
 
 #: Bytes that separate words become blanks, A-Z become a-z.
 _WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
-_AUTOMATON: dict = {}
 
 
 def words(text: bytes) -> list[bytes]:
@@ -70,23 +69,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, bl
     kept = [F.col(c).alias(f"__{k}") for k, c in enumerate(keep)]
     scanned = docs.select(*kept, F.col("text").alias("__text"), F.lit(None).cast("array<long>").alias("__hit"), F.lit(None).cast("array<string>").alias("__items"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in scanned.schema)
+    carried = kinds.rsplit(", `__text`", 1)[0]
+    out = f"{carried}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<string>, spans array<struct<start: long, end: long>>"
     for block in range(n_blocks):
         mine = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks)) == block)
         shared = spark.sparkContext.broadcast([(r["item"], bytes(r["text"])) for r in mine.collect()])
-        scanned = scanned.mapInArrow(_scan(shared, window), kinds)
         if block + 1 < n_blocks:
-            scanned = staged(scanned, "decontamination")
-    carried = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in scanned.schema[: len(keep)])
-    out = f"{carried}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<string>, spans array<struct<start: long, end: long>>"
-    found = scanned.mapInArrow(_summary, out)
+            scanned = staged(scanned.mapInArrow(_scan(shared, window), kinds), "decontamination")
+    found = scanned.mapInArrow(_scan(shared, window, last=True), out)
     return found.select(*(F.col(f"__{k}").alias(c) for k, c in enumerate(keep)), *found.columns[len(keep) :])
 
 
-def _scan(shared, window: int):
+def _scan(shared, window: int, last: bool = False):
     key = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, automaton = remembered(_AUTOMATON, key, lambda: _automaton(shared.value, window))
+        number, automaton = remembered(key, lambda: _automaton(shared.value, window))
         get = number.get
         for batch in batches:
             *carried, text_column, hit_column, item_column = batch.columns
@@ -106,27 +104,29 @@ def _scan(shared, window: int):
                 if found:
                     hits[row] = sorted({*(hits[row] or ()), *np.flatnonzero(np.cumsum(covered) > 0).tolist()})
                     names[row] = sorted({*(names[row] or ()), *found})
+            if last:
+                yield _summary(batch, hits, names)
+                continue
             yield pa.RecordBatch.from_arrays([*carried, text_column, pa.array(hits, pa.list_(pa.int64())), pa.array(names, pa.list_(pa.string()))], names=batch.schema.names)
 
     return run
 
 
-def _summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = []
-        *carried, text_column, hit_column, item_column = batch.columns
-        for text, hit, items in zip(text_bytes(text_column), hit_column.to_pylist(), item_column.to_pylist()):
-            hit, items, spans = hit or [], items or [], []
-            if hit:
-                starts, ends = word_spans(text)
-                at = np.array(hit)
-                cut = np.flatnonzero(np.diff(at) > 1)
-                first, last = at[np.concatenate(([0], cut + 1))], at[np.concatenate((cut, [len(at) - 1]))]
-                spans = [{"start": int(s), "end": int(e)} for s, e in zip(starts[first], ends[last])]
-            rows.append((len(words(text or b"")), len(hit), len(items), hashlib.sha256(",".join(items).encode()).hexdigest(), bool(hit), items, spans))
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.list_(pa.string()), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
-        names = [*batch.schema.names[: len(carried)], "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "items", "spans"]
-        yield pa.RecordBatch.from_arrays([*carried, *(pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds))], names=names)
+def _summary(batch: pa.RecordBatch, hits: list, names: list) -> pa.RecordBatch:
+    rows = []
+    *carried, text_column, _, _ = batch.columns
+    for text, hit, items in zip(text_bytes(text_column), hits, names):
+        hit, items, spans = hit or [], items or [], []
+        if hit:
+            starts, ends = word_spans(text)
+            at = np.array(hit)
+            cut = np.flatnonzero(np.diff(at) > 1)
+            first, last = at[np.concatenate(([0], cut + 1))], at[np.concatenate((cut, [len(at) - 1]))]
+            spans = [{"start": int(s), "end": int(e)} for s, e in zip(starts[first], ends[last])]
+        rows.append((len(words(text or b"")), len(hit), len(items), hashlib.sha256(",".join(items).encode()).hexdigest(), bool(hit), items, spans))
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.list_(pa.string()), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
+    columns = [*batch.schema.names[: len(carried)], "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "items", "spans"]
+    return pa.RecordBatch.from_arrays([*carried, *(pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds))], names=columns)
 
 
 #: The same rows in SQL: windows by position, joined with the items' windows.

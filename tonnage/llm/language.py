@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tonnage.llm.common import held_out, slices, text_bytes
+from tonnage.llm.common import forget, held_out, slices, text_bytes
 
 _HAS_LETTER = re.compile(r"[^\W\d_]").search
 _MIX = tuple(np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D))
@@ -83,6 +83,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], *, keep: tupl
     shared = docs.sparkSession.sparkContext.broadcast(np.ascontiguousarray(matrix))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         table = shared.value
         for whole in batches:
             for batch in slices(whole, whole.num_columns - 1, 1 << 20):

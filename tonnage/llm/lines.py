@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tonnage.llm.common import slices, staged, text_bytes
+from tonnage.llm.common import forget, slices, staged, text_bytes
 from tonnage.llm.repeats import merged, with_lists
 
 
@@ -52,6 +52,7 @@ def fingerprints(text: bytes, run: int, long_words: int) -> list[tuple[int, list
 
 def _emit(run: int, long_words: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         runs = pa.list_(pa.struct([("first", pa.int32()), ("n", pa.int32()), ("d1", pa.int64()), ("d2", pa.int64())]))
         for whole in batches:
             for batch in slices(whole, 2, 4 << 20):

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tonnage.llm.common import ASCII_LOWER, slices, staged, text_bytes
+from tonnage.llm.common import ASCII_LOWER, forget, staged, text_bytes
 from tonnage.llm.components import components
 
 #: (word of the fingerprint, lowest bit, bits, radius of the ball)
@@ -64,6 +64,7 @@ def fingerprinted(docs: DataFrame, shingle: int, words: int = 1) -> DataFrame:
     """doc_id, h (a hash of the text) and fp of every row; a null text has no words and the fingerprint zero."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             found = [fingerprint(x or b"", shingle, words) for x in text_bytes(batch.column(2))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=["doc_id", "h", "fp"])
@@ -150,20 +151,24 @@ def _forest(words: int, distance: int):
         return pa.RecordBatch.from_arrays([pa.array([x for x, _ in edges], pa.binary()), pa.array([x for _, x in edges], pa.binary())], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        forget()
+        parts: list[tuple] = []
+
+        def joined() -> tuple:
+            return (*(np.concatenate([p[k] for p in parts]) for k in range(3)), [x for p in parts for x in p[3]])
+
         for batch in batches:
-            key, pair, probe = (batch.column(k).to_numpy() for k in range(3))
-            new = (key, pair, probe, batch.column(3).to_pylist())
-            held = new if held is None else tuple(np.concatenate((a, b)) if isinstance(a, np.ndarray) else a + b for a, b in zip(held, new))
-            if len(held[0]) < 100_000:
+            parts.append((*(batch.column(k).to_numpy() for k in range(3)), batch.column(3).to_pylist()))
+            if sum(len(p[0]) for p in parts) < 100_000:
                 continue
+            held = joined()
             group = _runs(held[0], held[1])
             whole = int(np.searchsorted(group, group[-1]))
             if whole:
                 yield solve(group[:whole], held[2][:whole], held[3][:whole])
-                held = tuple(x[whole:] for x in held)
-        if held is not None and len(held[0]):
-            yield solve(_runs(held[0], held[1]), held[2], held[3])
+            parts = [tuple(x[whole:] for x in held)]
+        if parts and len(parts[0][0]):
+            yield solve(*(lambda h: (_runs(h[0], h[1]), h[2], h[3]))(joined()))
 
     return run
 

@@ -21,17 +21,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tonnage.llm.common import discard, remembered, scratch, slices, staged, text_bytes
+from tonnage.llm.common import discard, forget, remembered, scratch, slices, staged, text_bytes
 from tonnage.llm.tokens import ChunkEncoder
 
-_ENCODER: dict = {}
 _MAGIC = b"TNB1"
 #: Lengths of the four ranks that a control byte describes.
 _LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + np.uint8(1)
 
 
 def encoder(path: str) -> ChunkEncoder:
-    return remembered(_ENCODER, path, lambda: ChunkEncoder(path))
+    return remembered(("encoder", path), lambda: ChunkEncoder(path))
 
 
 def tokenized(docs: DataFrame, tokenizer: str, end_id: int, text_column: str = "text") -> DataFrame:
@@ -123,7 +122,7 @@ def write_token_files(tokens: DataFrame, path: str, vocabulary: int = 1 << 17, b
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank, keys, lengths, raws, held = shared.value, [], [], [], 0
-        _ENCODER.clear()  # a worker that has tokenized is used again
+        forget()  # a worker that has tokenized is used again
 
         def out() -> pa.RecordBatch:
             raw = b"".join(raws)
@@ -156,7 +155,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = shared.value
-        _ENCODER.clear()
+        forget()
         for batch in batches:
             for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 before = 0
