@@ -88,3 +88,19 @@ def test_digest_depends_on_content_not_on_partitions(spark):
     assert integrity.parallel_digest(df) == integrity.parallel_digest(df.orderBy(F.desc("id")))
     with pytest.raises(Exception, match="cannot be encoded"):
         integrity.content_digest(df.withColumn("x", F.lit(float("nan"))), "t", ["id"])
+
+
+def test_own_vocabulary_is_sound_and_refuses(spark):
+    from tonnage.operators import exercises
+
+    own = exercises.vocabulary()
+    assert (len(own.definitions), len(own.aliases), len(own.refusals)) == (66, 143, 8)
+    given = [("RDL", "hevy"), ("Variation", "hevy"), ("Chest Press", "strong"), ("Comp Squat", "generic_csv"), ("Low Bar Squat?", "hevy")]
+    found = labels.resolve(spark.createDataFrame(given, "raw_label string, source_system string"), own)
+    got = {r["raw_label"]: (r["resolution_status"], r["exercise_key"]) for r in found.collect()}
+    assert got["Comp Squat"] == ("resolved_alias", "squat") and got["Chest Press"][0] == "ambiguous" and got["Variation"] == ("unmapped", None)
+    assert got["Low Bar Squat?"] == ("ambiguous", None)
+    assert labels.definition_table(spark, own).count() == 66
+    assert labels.alias_table(spark, own).count() == 143
+    table = labels.normalization_table(found)
+    assert table.where("exercise_id is not null and exercise_id not rlike '^exd_[0-9a-f]{32}$'").count() == 0 and table.count() == len(given)

@@ -8,7 +8,7 @@ import sys
 from datetime import datetime, timezone
 from pathlib import Path
 
-from tonnage.operators import integrity, labels, validation
+from tonnage.operators import exercises, integrity, labels, validation
 from tonnage.plans import audit, corpus, history
 from tonnage.plans.schema import TABLES, VOCABULARIES, TableSpec
 from tonnage.session import session
@@ -59,8 +59,11 @@ def main(arguments: list[str] | None = None) -> int:
     verb("show", "table")
     verb("inspect", "dataset", "table").add_argument("--limit", type=int, default=20)
     verb("timeline", "dataset", "athlete_id")
-    resolving = verb("resolve", "vocabulary", "label")
+    resolving = verb("resolve", "label")
     resolving.add_argument("--source-system", default="generic_csv")
+    resolving.add_argument("--vocabulary", help="JSON with definitions, aliases and refusals in place of the own vocabulary")
+    verb("exercises")
+    verb("coverage", "labels")
     try:
         a = parser.parse_args(arguments)
     except SystemExit as e:
@@ -111,9 +114,14 @@ def _run(a: argparse.Namespace) -> int:
     elif a.verb == "timeline":
         validation.timeline(integrity.read_dataset(session(), a.dataset), a.athlete_id).show(1000, truncate=False)
     elif a.verb == "resolve":
-        words = labels.Vocabulary.of(**json.loads(Path(a.vocabulary).read_text()))
+        words = labels.Vocabulary.of(**json.loads(Path(a.vocabulary).read_text())) if a.vocabulary else exercises.vocabulary()
         one = session().createDataFrame([(a.label, a.source_system)], "raw_label string, source_system string")
         show(labels.resolve(one, words).first().asDict(recursive=True))
+    elif a.verb == "exercises":
+        show({d["key"]: {k: v for k, v in d.items() if k != "key"} for d in exercises.vocabulary().definitions})
+    elif a.verb == "coverage":  # a CSV of raw_label, source_system
+        given = session().read.csv(a.labels, header=True, schema="raw_label string, source_system string")
+        show({r["resolution_status"]: r["n"] for r in labels.coverage(labels.resolve(given, exercises.vocabulary())).orderBy("resolution_status").collect()})
     return 0
 
 

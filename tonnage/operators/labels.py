@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tonnage.functions.ids import plain_id
+from tonnage.functions.ids import make_id, plain_id, text_part
+from tonnage.plans.schema import TABLES
 
 #: Whole-token abbreviations.
 ABBREVIATIONS = {
@@ -129,7 +130,7 @@ class Vocabulary:
 
     @classmethod
     def of(cls, definitions: list[dict], aliases: list[dict], refusals: list[dict]) -> Vocabulary:
-        """``definitions``: key, name, parent_lift and descriptors; ``aliases``: source_system, alias, key; ``refusals``: label, reason, candidates."""
+        """``definitions``: key, name, parent_lift and descriptors; ``aliases``: source_system, alias, key; ``refusals``: label, status, reason, parent_lift, candidates."""
         if max(map(len, (definitions, aliases, refusals))) > 100_000:
             raise ValueError("a vocabulary of so many entries is not sent to every task")
         keys = [d["key"] for d in definitions]
@@ -163,21 +164,22 @@ class Vocabulary:
             by_text.setdefault(normalize(a["alias"])[0], []).append(a)
         # the alias cited is that of the first source system by name
         alias = [(t, x[0]["key"], family[x[0]["key"]], plain_id("exercise_alias", x[0]["source_system"], x[0]["alias"], plain_id("exercise", x[0]["key"])), sorted({a["source_system"] for a in x})) for t, x in by_text.items()]
-        refused = [(normalize(r["label"])[0], r["reason"], r.get("parent_lift", UNKNOWN), sorted(r.get("candidates", ()))) for r in self.refusals]
+        refused = [(normalize(r["label"])[0], r.get("status", "ambiguous"), r["reason"], r.get("parent_lift", UNKNOWN), sorted(r.get("candidates", ()))) for r in self.refusals]
         defined = [(d["key"], d.get("parent_lift", UNKNOWN), *(d.get(c, UNKNOWN) for c in DESCRIPTORS)) for d in self.definitions]
         make = spark.createDataFrame
         return {
             "identity": make(sorted(identity), "text string, identity_key string, identity_family string"),
             "alias": make(alias, "text string, alias_key string, alias_family string, alias_id string, alias_systems array<string>"),
-            "refused": make(refused, "text string, refused_reason string, refused_family string, refused_candidates array<string>"),
+            "refused": make(refused, "text string, refused_status string, refused_reason string, refused_family string, refused_candidates array<string>"),
             "defined": make(defined, "key string, parent_lift string, " + ", ".join(f"d_{c} string" for c in DESCRIPTORS)),
         }
 
 
-def _verdict(status: str, method: str, key: Column | None = None, family: Column | None = None, reason: Column | str | None = None, candidates: Column | None = None, alias: Column | None = None) -> Column:
+def _verdict(status: Column | str, method: str, key: Column | None = None, family: Column | None = None, reason: Column | str | None = None, candidates: Column | None = None, alias: Column | None = None) -> Column:
     text, none = T.StringType(), F.lit(None)
     reason = F.lit(reason) if isinstance(reason, str) else reason
-    parts = {"resolution_status": F.lit(status), "resolution_method": F.lit(method), "exercise_key": key, "parent_lift": family, "ambiguity_reason": reason, "source_alias_id": alias}
+    status = F.lit(status) if isinstance(status, str) else status
+    parts = {"resolution_status": status, "resolution_method": F.lit(method), "exercise_key": key, "parent_lift": family, "ambiguity_reason": reason, "source_alias_id": alias}
     return F.struct(*((none if v is None else v).cast(text).alias(k) for k, v in parts.items()), (F.array() if candidates is None else candidates).cast("array<string>").alias("candidates"))
 
 
@@ -213,7 +215,7 @@ def resolve(labels: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     verdict = (
         F.when(F.col("id_key").isNotNull(), _verdict("exact_canonical", "canonical_identity", F.col("id_key"), F.col("id_family")))
         .when(F.col("identity_key").isNotNull(), _verdict("exact_canonical", "canonical_identity", F.col("identity_key"), F.col("identity_family")))
-        .when(F.col("refused_reason").isNotNull(), _verdict("ambiguous", "curated_ambiguous", None, F.col("refused_family"), F.col("refused_reason"), F.col("refused_candidates")))
+        .when(F.col("refused_reason").isNotNull(), _verdict(F.col("refused_status"), "curated_ambiguous", None, F.col("refused_family"), F.col("refused_reason"), F.col("refused_candidates")))
         .when(F.col("alias_key").isNotNull() & method, _verdict("resolved_alias", "registered_alias", **alias))
         .when(F.col("alias_key").isNotNull(), _verdict("resolved_alias", "cross_source_alias", **alias))
         .when(F.arrays_overlap(tokens, F.array(*map(F.lit, sorted(GENERIC)))), _verdict("partial_family", "generic_qualifier", None, family, "unspecified_variation"))
@@ -228,5 +230,29 @@ def resolve(labels: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return out.select("raw_label", "source_system", F.col("text").alias("normalized_label"), F.col("rules").alias("normalization_rules"), "v.*")
 
 
+def definition_table(spark: SparkSession, vocabulary: Vocabulary, **provenance) -> DataFrame:
+    """The vocabulary as the ``exercise_definition`` table."""
+    rows = [{"exercise_id": plain_id("exercise", d["key"]), "canonical_key": d["key"], "canonical_name": d["name"], "configuration": sorted(d.get("configuration", [])), "pause": d.get("pause_rule", UNKNOWN) not in ("none", "not_specified", UNKNOWN), "quality_flags": []} | {k: v for k, v in d.items() if k not in ("key", "name", "configuration")} | provenance for d in vocabulary.definitions]
+    return spark.createDataFrame([{f.name: r.get(f.name) for f in TABLES["exercise_definition"].schema} for r in rows], TABLES["exercise_definition"].schema)
+
+
+def alias_table(spark: SparkSession, vocabulary: Vocabulary, **provenance) -> DataFrame:
+    """The vocabulary's aliases as the ``exercise_alias`` table, one row an alias and source system."""
+    rows = {}
+    for a in vocabulary.aliases:
+        own = plain_id("exercise", a["key"])
+        alias = plain_id("exercise_alias", a["source_system"], a["alias"], own)
+        rows[alias] = {"exercise_alias_id": alias, "exercise_id": own, "source_system": a["source_system"], "alias_raw": a["alias"], "alias_normalized": normalize(a["alias"])[0], "mapping_status": "resolved_alias", "quality_flags": []} | provenance
+    schema = TABLES["exercise_alias"].schema
+    return spark.createDataFrame([{f.name: r.get(f.name) for f in schema} for r in rows.values()], schema)
+
+
+def normalization_table(resolved: DataFrame) -> DataFrame:
+    """Verdicts of :func:`resolve` as the ``exercise_normalization`` table; the same label twice is one row."""
+    out = resolved.dropDuplicates(["source_system", "raw_label"]).withColumns({"normalization_id": make_id("exercise_normalization", text_part(F.col("source_system")), text_part(F.col("raw_label")), text_part(F.col("normalized_label"))), "exercise_id": make_id("exercise", text_part(F.col("exercise_key"))), "candidate_exercise_ids": F.transform("candidates", lambda k: make_id("exercise", text_part(k)))})
+    have = set(out.columns)
+    return out.select(*((F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in TABLES["exercise_normalization"].schema))
+
+
 def coverage(resolved: DataFrame) -> DataFrame:
     return resolved.groupBy("resolution_status").agg(F.count("*").alias("n"))
