@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tonnage.llm.common import offsets_of, slices, text_bytes
+from tonnage.llm.common import forget, offsets_of, slices, text_bytes
 
 _GEAR = np.random.Generator(np.random.PCG64(0x6765)).integers(0, 1 << 32, 256, dtype=np.uint32)
 LEAST, WANTED, MOST = 16, 40, 192
@@ -134,6 +134,7 @@ def compared(docs: DataFrame, parts: int | None = None) -> DataFrame:
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
+    forget()
     waiting: list[tuple] = []  # at most one row: (part, doc_id, text), its successor not yet seen
 
     for whole in batches:

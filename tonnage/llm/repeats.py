@@ -25,10 +25,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tonnage.llm.common import offsets_of, scratch, slices, staged, text_bytes
+from tonnage.llm.common import forget, offsets_of, slices, staged, text_bytes
 from tonnage.llm.suffixes import suffix_arrays
 
 GRAM = 32
@@ -102,6 +102,7 @@ def _deal(length: int, buckets: int):
     """Anchors in one binary value for each slice and bucket: half the size of rows, and no work by row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for whole in batches:
             for batch in slices(whole, 2, 2 << 20):
                 found = anchors([x or b"" for x in text_bytes(batch.column(2))], length)
@@ -202,6 +203,7 @@ def _contexts(length: int, most_strings: int = 50_000):
             yield table(rows[at : at + 20_000])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         strings: list[tuple] = []
         for batch in batches:
             rows: list[tuple] = []
@@ -258,7 +260,7 @@ def repeated_strings(groups: list[list[bytes]], length: int) -> list[np.ndarray]
     return out
 
 
-def _sorted_contexts(length: int, batch_bytes: int = 3 << 19):
+def _sorted_contexts(length: int, batch_bytes: int = 3 << 20):
     """Repeats among the contexts of each anchor; rows come sorted by anchor and place."""
 
     def solve(groups: list[list[tuple]]) -> pa.RecordBatch:
@@ -272,6 +274,7 @@ def _sorted_contexts(length: int, batch_bytes: int = 3 << 19):
         return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=["doc_id", "th", "start", "end"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         groups: list[list[tuple]] = []
         held, current = 0, None
         for batch in batches:
@@ -337,6 +340,7 @@ def without(text: bytes, ranges: list[tuple[int, int]]) -> bytes:
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forget()
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]
     for whole in batches:
         for batch in slices(whole, 1, 4 << 20):

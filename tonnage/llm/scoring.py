@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tonnage.llm.common import ASCII_LOWER, held_out, scratch, slices, staged, text_bytes
+from tonnage.llm.common import ASCII_LOWER, forget, held_out, slices, staged, text_bytes
 
 ORDER = 5
 #: Bytes that UTF-8 text cannot hold: before a document's first byte, and after its last.
@@ -122,6 +122,7 @@ def _ask(buckets: int):
             return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, (pa.int64(), pa.int8(), pa.int32(), pa.binary()))], names=["block", "kind", "bucket", "grams"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         now: Block | None = None
         for whole in batches:
             for batch in slices(whole, 2, 2 << 20):
@@ -266,6 +267,7 @@ def _score(vocabulary: int, tokens: int):
     missing = np.log10(tokens + 0.5 * (vocabulary + 1))
 
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        forget()
         found: dict[int, list] = {_WINDOWS: [], _WORDS: []}
         for kind, keys, values in zip(*(answers.column(k).to_pylist() for k in ("kind", "keys", "vals"))):
             found[kind].append((np.frombuffer(keys, np.uint64), np.frombuffer(values, np.float32 if kind == _WINDOWS else np.float64)))
