@@ -107,9 +107,8 @@ def compared(docs: DataFrame, parts: int | None = None) -> DataFrame:
     ids = keyed.select("at")
     if parts is None:
         size = keyed.agg(F.sum(F.length("text"))).first()[0] or 0
-        parts = max(2, int(size >> 24))
+        parts = min(8192, max(2, int(size >> 24)))  # ranges are sorted outside Python and streamed: their size is no bound
     edges = sorted({int(x) for x in ids.approxQuantile("at", [k / parts for k in range(1, parts)], 1 / (4 * parts))})
-    bounds = np.array(edges, np.int64)
     bucket = F.lit(0)
     for edge in edges if len(edges) <= 64 else ():
         bucket = bucket + (F.col("at") > edge).cast("int")

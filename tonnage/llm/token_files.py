@@ -143,9 +143,9 @@ def write_token_files(tokens: DataFrame, path: str, vocabulary: int = 1 << 17, b
 
     total = tokens.agg(F.sum("n_tokens")).first()[0] or 0
     order = ["doc_id", "n_tokens", F.crc32("ids")]  # so that one repeated doc_id does not fill a partition
-    parts = tokens.repartitionByRange(max(1, -(-total // file_ids)), *order).sortWithinPartitions(*order)
+    parts = tokens.repartitionByRange(int(min(20_000, max(1, -(-total // file_ids)))), *order).sortWithinPartitions(*order)
     packed = parts.select("doc_id", "n_tokens", "ids").mapInArrow(encode, "block binary")
-    packed.select(F.col("block").cast("string").alias("value")).write.option("lineSep", "\n").text(f"{path}/blocks")
+    packed.select(F.col("block").cast("string").alias("value")).write.option("lineSep", "\n").option("maxRecordsPerFile", max(1, file_ids // block_ids)).text(f"{path}/blocks")
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:

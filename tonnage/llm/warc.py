@@ -66,7 +66,7 @@ def write_archives(records: DataFrame, path: str) -> None:
         F.lit("\r\nContent-Length: "), F.length(block).cast("string"), F.lit(_END),
     ]
     record = F.concat(F.concat(*lines).cast("binary"), block).cast("string")
-    records.select(record.alias("value")).write.option("lineSep", _END).option("compression", "gzip").option("maxRecordsPerFile", 20_000).text(path)
+    records.select(record.alias("value")).write.option("lineSep", _END).option("compression", "gzip").option("maxRecordsPerFile", 4_000).text(path)
 
 
 def parse(content: bytes) -> Iterator[tuple[dict[bytes, bytes], bytes]]:
