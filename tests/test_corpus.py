@@ -164,6 +164,18 @@ def test_dataset_round_trip_and_cli(spark, tmp_path):
     assert integrity.verify_dataset(spark, out)
 
 
+def test_rows_are_numbered_across_splits(spark, tmp_path):
+    names = [f"N{k}" for k in range(3000)]
+    path = write_csv(tmp_path / "many.csv", [{"Name": n, "Date": "2024-01-01"} for n in names])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        df = source.read_csv(spark, f"file://{path}")
+        got = {r["row_ordinal"]: r["Name"] for r in df.select("row_ordinal", "Name").collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == dict(enumerate(names)) and source.count_rows(path) == 3000
+
+
 def test_header_drift(tmp_path):
     columns = list(source.COLUMNS)
     source.require_header(tuple(columns))

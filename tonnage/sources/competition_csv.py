@@ -12,7 +12,7 @@ import zipfile
 from dataclasses import asdict, dataclass
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,14 +66,19 @@ def require_header(header: tuple[str, ...], allow_unknown: tuple[str, ...] = ())
 def read_csv(spark: SparkSession, path: str, header: tuple[str, ...] = COLUMNS) -> DataFrame:
     """All columns as text, empty cells null, with the zero-based number of each row in the file.
 
-    The format has no quoting, so lines are rows: they are numbered by split, which costs one counting
-    pass and no shuffle, and parsed in place.
+    The format has no quoting, so lines are rows.  A row's number is the number of lines in the splits
+    before its own, known from one counting pass (a row a split), and its place in its split; lines
+    never leave generated code.
     """
-    numbered = spark.read.text(path).rdd.map(lambda r: r[0]).zipWithIndex().filter(lambda x: x[1] > 0)
-    lines = spark.createDataFrame(numbered.map(lambda x: (x[1] - 1, x[0])), f"{ORDINAL} long, line string")
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("place"))
+    splits = lines.groupBy("split").agg(F.count("*").alias("n"), F.min("place").alias("first"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("split").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    table = splits.select("split", (before - F.col("first")).alias("shift"))
+    numbered = lines.join(table, "split").select((F.col("place") + F.col("shift") - 1).alias(ORDINAL), F.col("value").alias("line"))
     cells = F.split(F.regexp_replace("line", r"\r$", ""), ",", -1)
     columns = [F.when(F.get(cells, F.lit(k)) != "", F.get(cells, F.lit(k))).alias(c) for k, c in enumerate(header)]
-    return lines.where(F.length("line") > 0).select(ORDINAL, *columns).select(ORDINAL, *COLUMNS)
+    rows = numbered.where((F.col(ORDINAL) >= 0) & (F.length("line") > 0))
+    return rows.select(ORDINAL, *columns).select(ORDINAL, *COLUMNS)
 
 
 def count_rows(path: str | Path) -> int:
