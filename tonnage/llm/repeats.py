@@ -228,49 +228,52 @@ def _contexts(length: int, most_strings: int = 50_000):
     return run
 
 
-def repeated_strings(groups: list[list[bytes]], length: int) -> list[np.ndarray]:
-    """For each group of contexts, in order of place: [context, first, last] of runs of strings that start earlier too."""
-    texts, owners = [], []
-    for contexts in groups:  # contexts are set apart by 1, the bytes are 2 and more
-        text = np.frombuffer(b"\0".join(contexts) + b"\0", np.uint8).astype(np.int32) + 2
-        ends = np.cumsum([len(c) + 1 for c in contexts])
-        text[ends - 1] = 1
-        texts.append(text)
-        owners.append(ends)
-    out = []
-    for text, ends, order in zip(texts, owners, suffix_arrays(texts)):
-        context = np.searchsorted(ends, order, side="right")
-        order = order[order + length < ends[context]]  # whole strings
-        same = np.ones(max(0, len(order) - 1), bool)
-        for k in range(0, length, 10):
-            some = np.flatnonzero(same)
-            if not len(some):
-                break
-            window = np.arange(k, min(length, k + 10))
-            same[some] = (text[order[some][:, None] + window] == text[order[some + 1][:, None] + window]).all(1)
-        label = np.cumsum(np.concatenate(([0], ~same))) if len(order) else np.zeros(0, np.int64)
-        least = np.full(int(label[-1]) + 1 if len(label) else 0, len(text), np.int64)
-        np.minimum.at(least, label, order)
-        again = np.sort(order[order != least[label]])
-        context = np.searchsorted(ends, again, side="right")
-        begin = np.concatenate(([0], ends))[context]
-        cut = np.flatnonzero(np.concatenate(([True], (again[1:] != again[:-1] + 1) | (context[1:] != context[:-1])))) if len(again) else np.zeros(0, np.int64)
-        stop = np.concatenate((cut[1:], [len(again)])) - 1 if len(again) else cut
-        out.append(np.stack((context[cut], again[cut] - begin[cut], again[stop] - begin[stop]), 1) if len(again) else np.zeros((0, 3), np.int64))
-    return out
+def repeated_strings(groups: list[list[bytes]], length: int) -> np.ndarray:
+    """[context, first, last] of runs of strings that start earlier in their group too.
+
+    Each group's contexts are in order of place; contexts are counted through all groups.
+    """
+    # contexts are set apart by 1, the bytes are 2 and more
+    whole = np.frombuffer(b"\0".join(c for g in groups for c in g) + b"\0", np.uint8).astype(np.int32) + 2
+    ends = np.cumsum([len(c) + 1 for g in groups for c in g])
+    whole[ends - 1] = 1
+    stops = ends[np.cumsum([len(g) for g in groups]) - 1]
+    begins = np.concatenate(([0], stops[:-1]))
+    arrays = suffix_arrays([whole[a:z] for a, z in zip(begins.tolist(), stops.tolist())])
+    order = np.concatenate(arrays).astype(np.int64) + np.repeat(begins, stops - begins)
+    owner = np.repeat(np.arange(len(groups)), stops - begins)
+    context_of = np.repeat(np.arange(len(ends)), np.diff(np.concatenate(([0], ends))))
+    full = order + length < ends[context_of[order]]
+    order, owner = order[full], owner[full]
+    if len(order) < 2:
+        return np.zeros((0, 3), np.int64)
+    same = owner[1:] == owner[:-1]
+    for k in range(0, length, 10):
+        some = np.flatnonzero(same)
+        for at in range(0, len(some), 200_000):
+            part, window = some[at : at + 200_000], np.arange(k, min(length, k + 10))
+            same[part] = (whole[order[part][:, None] + window] == whole[order[part + 1][:, None] + window]).all(1)
+    heads = np.flatnonzero(np.concatenate(([True], ~same)))
+    least = np.repeat(np.minimum.reduceat(order, heads), np.diff(np.concatenate((heads, [len(order)]))))
+    again = np.sort(order[order != least])
+    if not len(again):
+        return np.zeros((0, 3), np.int64)
+    context = context_of[again]
+    cut = np.flatnonzero(np.concatenate(([True], (again[1:] != again[:-1] + 1) | (context[1:] != context[:-1]))))
+    stop = np.concatenate((cut[1:], [len(again)])) - 1
+    base = np.concatenate(([0], ends))[context[cut]]
+    return np.stack((context[cut], again[cut] - base, again[stop] - base), 1)
 
 
 def _sorted_contexts(length: int, batch_bytes: int = 3 << 20):
     """Repeats among the contexts of each anchor; rows come sorted by anchor and place."""
 
     def solve(groups: list[list[tuple]]) -> pa.RecordBatch:
-        rows = []
         groups = [g for g in groups if len(g) > 1]
         groups.sort(key=lambda g: sum(len(x[3]) for x in g))  # texts of like length step together
-        for group, runs in zip(groups, repeated_strings([[x[3] for x in g] for g in groups], length)):
-            for k, a, z in runs.tolist():
-                doc, th, at, _ = group[k]
-                rows.append((doc, th, at + a, at + z + length))
+        flat = [x for g in groups for x in g]
+        runs = repeated_strings([[x[3] for x in g] for g in groups], length).tolist() if groups else []
+        rows = [(flat[k][0], flat[k][1], flat[k][2] + a, flat[k][2] + z + length) for k, a, z in runs]
         return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=["doc_id", "th", "start", "end"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
