@@ -159,6 +159,8 @@ def test_dataset_round_trip_and_cli(spark, tmp_path):
     assert integrity.verify_dataset(spark, out) == []
     assert cli.main(["verify", str(out)]) == 0
     assert cli.main(["audit", str(out), str(tmp_path / "report")]) == 0 and (tmp_path / "report.md").exists()
+    assert "competition" in integrity.register_views(spark, out)
+    assert spark.sql("select count(*) from competition_attempt where result = 'bad_lift'").first()[0] == 6
     part = next((out / "tables" / "competition.parquet").glob("*.parquet"))
     part.unlink()
     assert integrity.verify_dataset(spark, out)

@@ -104,3 +104,16 @@ def test_own_vocabulary_is_sound_and_refuses(spark):
     assert labels.alias_table(spark, own).count() == 143
     table = labels.normalization_table(found)
     assert table.where("exercise_id is not null and exercise_id not rlike '^exd_[0-9a-f]{32}$'").count() == 0 and table.count() == len(given)
+
+
+def test_versions():
+    from datetime import datetime
+
+    from tonnage.functions.versions import Version, as_utc
+
+    old, new = Version.parse("psd-canonical/1.0.3"), Version.parse("psd-canonical/1.1.0")
+    assert old.readable_by(new) and not new.readable_by(old) and str(new) == "psd-canonical/1.1.0"
+    with pytest.raises(ValueError, match="no version"):
+        Version.parse("1.0")
+    with pytest.raises(ValueError, match="no time zone"):
+        as_utc(datetime(2024, 1, 1))

@@ -13,11 +13,12 @@ from datetime import datetime, timedelta, timezone
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tonnage.functions.versions import CURRENT
 from tonnage.operators.rules import duplicate_excess
-from tonnage.plans.schema import TABLES
+from tonnage.plans.schema import TABLES, TableSpec
 
 #: Name of the content encoding, and the columns that describe a run and not its content.
 ENCODING = "psd-canonical-content/2"
@@ -108,6 +109,7 @@ class Manifest:
     lineage: list[dict] = field(default_factory=list)
     parent_digest: str | None = None
     environment: dict = field(default_factory=dict)
+    versions: dict = field(default_factory=lambda: dict(CURRENT))
 
     def to_json(self) -> bytes:
         return (json.dumps(asdict(self), indent=2, sort_keys=True, ensure_ascii=False) + "\n").encode()
@@ -158,6 +160,17 @@ def read_dataset(spark: SparkSession, folder: str | Path, *, specs: dict | None
     return {n: spark.read.schema(s.schema).parquet(f"file://{(Path(folder) / 'tables' / f'{n}.parquet').absolute()}") if n in there else spark.createDataFrame([], s.schema) for n, s in specs.items()}
 
 
+def register_views(spark: SparkSession, folder: str | Path) -> list[str]:
+    """The dataset's tables as views for ``spark.sql``; a missing or unreadable one is an error."""
+    tables = read_dataset(spark, folder)
+    names = sorted(read_manifest(folder).artifacts)
+    for n in names:
+        if not (Path(folder) / "tables" / f"{n}.parquet").exists():
+            raise FileNotFoundError(f"{n} is in the manifest and not in {folder}")
+        tables[n].createOrReplaceTempView(n)
+    return names
+
+
 def load_records(spark: SparkSession, folder: str | Path, required: tuple[str, ...] = ()) -> dict[str, DataFrame]:
     """Tables from ``<table>.json`` arrays; a required one that is missing is an error, as is a malformed one."""
     folder, found = Path(folder), {}
@@ -183,6 +196,7 @@ def verify_dataset(spark: SparkSession, folder: str | Path, *, specs: dict | Non
         if name in unknown:
             continue
         spec = specs[name]
+        problems += [f"{name}: {x}" for x in footer_problems(spec, folder / "tables" / f"{name}.parquet")]
         if _files(folder / "tables" / f"{name}.parquet") != said["files"]:
             problems.append(f"{name}: files differ")
         if tables[name].count() != said["rows"]:
@@ -200,5 +214,13 @@ def same_content(a: str | Path, b: str | Path) -> bool:
     return {n: (v["rows"], v["content_digest"]) for n, v in x.items()} == {n: (v["rows"], v["content_digest"]) for n, v in y.items()}
 
 
-def row_hash(columns: list[str]) -> Column:
-    return F.xxhash64(*(F.col(c) for c in columns))
+def footer_problems(spec: TableSpec, folder: str | Path) -> list[str]:
+    """Files whose own schema is not the declared one, by their footers."""
+    import pyarrow.parquet as pq
+
+    found = []
+    for path in sorted(Path(folder).glob("*.parquet")):
+        names = pq.ParquetFile(path).schema_arrow.names
+        if names != spec.columns:
+            found.append(f"{path.name}: columns {names}")
+    return found
