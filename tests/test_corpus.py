@@ -155,7 +155,7 @@ def test_dataset_round_trip_and_cli(spark, tmp_path):
     out = tmp_path / "corpus"
     first = cli.build(str(folder), str(out), BUILD.ingested_at)
     second = cli.build(str(folder), str(tmp_path / "again"), datetime(2026, 1, 1, tzinfo=timezone.utc))
-    assert integrity.same_content(out, tmp_path / "again") and first.artifacts["competition"]["rows"] == second.artifacts["competition"]["rows"] == 9
+    assert integrity.same_content(spark, out, tmp_path / "again") and first.artifacts["competition"]["rows"] == second.artifacts["competition"]["rows"] == 9
     assert integrity.verify_dataset(spark, out) == []
     assert cli.main(["verify", str(out)]) == 0
     assert cli.main(["audit", str(out), str(tmp_path / "report")]) == 0 and (tmp_path / "report.md").exists()
@@ -166,6 +166,14 @@ def test_dataset_round_trip_and_cli(spark, tmp_path):
     assert integrity.verify_dataset(spark, out)
 
 
+def test_json_records(spark, tmp_path):
+    (tmp_path / "program.json").write_text('[{"program_id": "p", "name": "n", "quality_flags": ["verified"], "ingested_at": "2024-01-01T00:00:00Z"}]')
+    tables = integrity.load_records(spark, tmp_path, required=("program",))
+    assert tables["program"].first()["quality_flags"] == ["verified"] and tables["athlete"].count() == 0
+    with pytest.raises(ValueError, match="missing"):
+        integrity.load_records(spark, tmp_path, required=("athlete",))
+
+
 def test_rows_are_numbered_across_splits(spark, tmp_path):
     names = [f"N{k}" for k in range(3000)]
     path = write_csv(tmp_path / "many.csv", [{"Name": n, "Date": "2024-01-01"} for n in names])

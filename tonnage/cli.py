@@ -23,7 +23,7 @@ def build(folder: str, out: str, ingested_at: datetime | None = None) -> integri
     source.require_header(source.read_header(path))
     at = corpus.Build(pinned.source_id, ingested_at or datetime.now(timezone.utc))
     raw = source.read_csv(spark, f"file://{path.absolute()}")
-    staging = f"file://{(Path(out) / 'staging').absolute()}"
+    staging = integrity.located(out, "staging")
     # written once by leading digest digit: six tables read it, each its own columns
     corpus.staged(raw, at).selectExpr("*", "substring(athlete_id, 5, 1) as p").write.mode("overwrite").partitionBy("p").option("compression", "zstd").parquet(staging)
     rows = spark.read.option("partitionColumnTypeInference", False).parquet(staging).drop("p")
@@ -33,7 +33,7 @@ def build(folder: str, out: str, ingested_at: datetime | None = None) -> integri
     derived = history.athlete_histories(integrity.read_dataset(spark, out))
     text = ", ".join(f"{f.name} {'bigint' if f.dataType.simpleString() == 'bigint' else f.dataType.simpleString()}" for f in derived.schema)
     spec = {"athlete_history": TableSpec("athlete_history", "derived", ("athlete_id",), ("athlete_id",), text)}
-    integrity.write_dataset({"athlete_history": derived}, Path(out) / "derived", "athlete-history", parent_digest=manifest.digest(), specs=spec)
+    integrity.write_dataset({"athlete_history": derived}, integrity.located(out, "derived"), "athlete-history", parent_digest=manifest.digest(), specs=spec)
     return manifest
 
 
@@ -93,7 +93,7 @@ def _run(a: argparse.Namespace) -> int:
         s = TABLES[a.table]
         show({"primary_key": s.primary_key, "order": s.order, "columns": {f.name: f.dataType.simpleString() for f in s.schema}, "vocabularies": s.vocabularies})
     elif a.verb == "manifest":
-        show(vars(integrity.read_manifest(a.dataset)))
+        show(vars(integrity.read_manifest(session(), a.dataset)))
     elif a.verb == "verify":
         problems = integrity.verify_dataset(session(), a.dataset)
         broken = [r.asDict() for r in audit.invariants(_corpus(a.dataset)).where("observed <> expected").collect()]

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tonnage.functions.versions import CURRENT
 from tonnage.operators.rules import duplicate_excess
-from tonnage.plans.schema import TABLES, TableSpec
+from tonnage.plans.schema import TABLES
 
 #: Name of the content encoding, and the columns that describe a run and not its content.
 ENCODING = "psd-canonical-content/2"
@@ -126,46 +126,85 @@ def environment(root: str = ".") -> dict:
     return {"python": platform.python_version(), "platform": platform.platform(), "commit": got.stdout.strip() or None}
 
 
-def _files(folder: Path) -> dict[str, str]:
-    return {p.name: hashlib.sha256(p.read_bytes()).hexdigest() for p in sorted(folder.glob("*.parquet"))}
+def located(folder: str | Path, *parts: str) -> str:
+    """A URI that every machine reads the same; a plain path is one of this machine's."""
+    text = str(folder)
+    return "/".join((text if "://" in text else f"file://{Path(text).absolute()}", *parts))
+
+
+def _file_system(spark: SparkSession, uri: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def write_bytes(spark: SparkSession, uri: str, content: bytes) -> None:
+    fs, path = _file_system(spark, uri)
+    stream = fs.create(path, True)
+    try:
+        stream.write(bytearray(content))
+    finally:
+        stream.close()
+
+
+def read_text(spark: SparkSession, uri: str) -> str:
+    fs, path = _file_system(spark, uri)
+    stream = fs.open(path)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def exists(spark: SparkSession, uri: str) -> bool:
+    fs, path = _file_system(spark, uri)
+    return fs.exists(path)
+
+
+def _files(spark: SparkSession, where: str) -> dict[str, str]:
+    """SHA-256 of each data file, computed where the files are read."""
+    if not exists(spark, where):
+        return {}
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(where)
+    named = files.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.sha2("content", 256).alias("digest"))
+    return {r["name"]: r["digest"] for r in named.orderBy("name").collect()}
 
 
 def write_dataset(tables: dict[str, DataFrame], folder: str | Path, dataset_id: str, *, digests: bool = True, parent_digest: str | None = None, specs: dict | None = None, **more) -> Manifest:
     """Parquet per table, in its declared order, with a manifest beside it.  Unknown tables and other schemas are refused."""
     specs = TABLES if specs is None else specs
-    folder = Path(folder)
     manifest = Manifest(dataset_id, parent_digest=parent_digest, environment=environment(), **more)
+    spark = next(iter(tables.values())).sparkSession
     for name, df in tables.items():
         spec = specs[name]
         if [(f.name, f.dataType) for f in df.schema] != [(f.name, f.dataType) for f in spec.schema]:
             raise ValueError(f"{name} does not have the canonical columns")
         require_total_order(spec.order, spec.primary_key)
-        where = folder / "tables" / f"{name}.parquet"
+        where = located(folder, "tables", f"{name}.parquet")
         # a range of the order per file, sorted inside: files by name are the total order
-        in_order(df, spec.order).write.mode("overwrite").option("compression", "zstd").option("parquet.enable.dictionary", "false").parquet(f"file://{where.absolute()}")
-        written = df.sparkSession.read.schema(spec.schema).parquet(f"file://{where.absolute()}")
-        manifest.artifacts[name] = {"rows": written.count(), "content_digest": content_digest(written, name, spec.order) if digests else None, "files": _files(where)}
-    (folder / "manifest.json").write_bytes(manifest.to_json())
+        in_order(df, spec.order).write.mode("overwrite").option("compression", "zstd").option("parquet.enable.dictionary", "false").parquet(where)
+        written = spark.read.schema(spec.schema).parquet(where)
+        manifest.artifacts[name] = {"rows": written.count(), "content_digest": content_digest(written, name, spec.order) if digests else None, "files": _files(spark, where)}
+    write_bytes(spark, located(folder, "manifest.json"), manifest.to_json())
     return manifest
 
 
-def read_manifest(folder: str | Path) -> Manifest:
-    return Manifest(**json.loads((Path(folder) / "manifest.json").read_text()))
+def read_manifest(spark: SparkSession, folder: str | Path) -> Manifest:
+    return Manifest(**json.loads(read_text(spark, located(folder, "manifest.json"))))
 
 
 def read_dataset(spark: SparkSession, folder: str | Path, *, specs: dict | None = None) -> dict[str, DataFrame]:
     """All tables of the model; those that the dataset does not have are empty."""
     specs = TABLES if specs is None else specs
-    there = read_manifest(folder).artifacts
-    return {n: spark.read.schema(s.schema).parquet(f"file://{(Path(folder) / 'tables' / f'{n}.parquet').absolute()}") if n in there else spark.createDataFrame([], s.schema) for n, s in specs.items()}
+    there = read_manifest(spark, folder).artifacts
+    return {n: spark.read.schema(s.schema).parquet(located(folder, "tables", f"{n}.parquet")) if n in there else spark.createDataFrame([], s.schema) for n, s in specs.items()}
 
 
 def register_views(spark: SparkSession, folder: str | Path) -> list[str]:
     """The dataset's tables as views for ``spark.sql``; a missing or unreadable one is an error."""
     tables = read_dataset(spark, folder)
-    names = sorted(read_manifest(folder).artifacts)
+    names = sorted(read_manifest(spark, folder).artifacts)
     for n in names:
-        if not (Path(folder) / "tables" / f"{n}.parquet").exists():
+        if not exists(spark, located(folder, "tables", f"{n}.parquet")):
             raise FileNotFoundError(f"{n} is in the manifest and not in {folder}")
         tables[n].createOrReplaceTempView(n)
     return names
@@ -173,11 +212,11 @@ def register_views(spark: SparkSession, folder: str | Path) -> list[str]:
 
 def load_records(spark: SparkSession, folder: str | Path, required: tuple[str, ...] = ()) -> dict[str, DataFrame]:
     """Tables from ``<table>.json`` arrays; a required one that is missing is an error, as is a malformed one."""
-    folder, found = Path(folder), {}
+    found = {}
     for name, spec in TABLES.items():
-        path = folder / f"{name}.json"
-        if path.exists():
-            found[name] = spark.read.schema(spec.schema).option("multiLine", True).option("mode", "FAILFAST").json(f"file://{path.absolute()}")
+        path = located(folder, f"{name}.json")
+        if exists(spark, path):
+            found[name] = spark.read.schema(spec.schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
         elif name in required:
             raise ValueError(f"{path} is missing")
         else:
@@ -188,7 +227,7 @@ def load_records(spark: SparkSession, folder: str | Path, required: tuple[str, .
 def verify_dataset(spark: SparkSession, folder: str | Path, *, specs: dict | None = None) -> list[str]:
     """Problems of a dataset: files, rows, contents and keys that are not what the manifest says.  None: it is sound."""
     specs = TABLES if specs is None else specs
-    folder, manifest = Path(folder), read_manifest(folder)
+    manifest = read_manifest(spark, folder)
     tables, problems = read_dataset(spark, folder, specs=specs), []
     unknown = sorted(set(manifest.artifacts) - set(specs))
     problems += [f"{n}: unknown table" for n in unknown]
@@ -196,8 +235,14 @@ def verify_dataset(spark: SparkSession, folder: str | Path, *, specs: dict | Non
         if name in unknown:
             continue
         spec = specs[name]
-        problems += [f"{name}: {x}" for x in footer_problems(spec, folder / "tables" / f"{name}.parquet")]
-        if _files(folder / "tables" / f"{name}.parquet") != said["files"]:
+        where = located(folder, "tables", f"{name}.parquet")
+        there = _files(spark, where)
+        if not there:
+            problems.append(f"{name}: no files")
+            continue
+        if spark.read.parquet(where).columns != spec.columns:
+            problems.append(f"{name}: the files have other columns")
+        if there != said["files"]:
             problems.append(f"{name}: files differ")
         if tables[name].count() != said["rows"]:
             problems.append(f"{name}: rows differ")
@@ -208,19 +253,7 @@ def verify_dataset(spark: SparkSession, folder: str | Path, *, specs: dict | Non
     return problems
 
 
-def same_content(a: str | Path, b: str | Path) -> bool:
+def same_content(spark: SparkSession, a: str | Path, b: str | Path) -> bool:
     """Whether two builds hold the same artifacts, whatever their runs."""
-    x, y = (read_manifest(f).artifacts for f in (a, b))
+    x, y = (read_manifest(spark, f).artifacts for f in (a, b))
     return {n: (v["rows"], v["content_digest"]) for n, v in x.items()} == {n: (v["rows"], v["content_digest"]) for n, v in y.items()}
-
-
-def footer_problems(spec: TableSpec, folder: str | Path) -> list[str]:
-    """Files whose own schema is not the declared one, by their footers."""
-    import pyarrow.parquet as pq
-
-    found = []
-    for path in sorted(Path(folder).glob("*.parquet")):
-        names = pq.ParquetFile(path).schema_arrow.names
-        if names != spec.columns:
-            found.append(f"{path.name}: columns {names}")
-    return found

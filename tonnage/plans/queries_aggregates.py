@@ -80,9 +80,9 @@ def coverage_two_counts(t: Tables):
     return joined.groupBy("o_orderpriority").agg(F.count("*").alias("orders"), F.count("hit").alias("discounted"))
 
 
-@query("SELECT o_custkey, list_sort(list(DISTINCT o_orderstatus)) AS statuses FROM orders GROUP BY o_custkey")
+@query("SELECT o_custkey, array_to_string(list_sort(list(DISTINCT o_orderstatus)), ',') AS statuses FROM orders GROUP BY o_custkey")
 def list_distinct_sorted(t: Tables):
-    return t.orders.groupBy("o_custkey").agg(F.array_sort(F.collect_set("o_orderstatus")).alias("statuses"))
+    return t.orders.groupBy("o_custkey").agg(F.array_join(F.array_sort(F.collect_set("o_orderstatus")), ",").alias("statuses"))
 
 
 @query("""SELECT o_custkey, o_orderpriority FROM (SELECT o_custkey, o_orderpriority, count(DISTINCT year(o_orderdate)) AS n FROM orders GROUP BY ALL) JOIN (SELECT o_custkey, count(DISTINCT year(o_orderdate)) AS years FROM orders GROUP BY 1) USING (o_custkey) WHERE n = years AND years > 1""")
