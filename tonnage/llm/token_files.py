@@ -14,6 +14,7 @@ task run again on another machine leaves no half-written file.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,18 +34,26 @@ def encoder(path: str) -> ChunkEncoder:
     return remembered(("encoder", path), lambda: ChunkEncoder(path))
 
 
+#: ``ids``: little-endian unsigned, all of one width.  A row with ``counts`` (64-bit, by id) is no document: it has the
+#: counts of those before it, so that the ids need not be read to rank them.
+TOKENS = "doc_id long, n_tokens long, ids binary, counts binary"
+
+
 def tokenized(docs: DataFrame, tokenizer: str, end_id: int, text_column: str = "text") -> DataFrame:
-    """doc_id, n_tokens, ids (little-endian unsigned, all of one width) of every row; a null text is empty."""
+    """The ids of every row as ``TOKENS``; a null text is empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = encoder(tokenizer)
         end = np.array([end_id], model.kind).tobytes()
+        total, names = np.zeros(max(len(model.ends_word), end_id + 1), np.int64), ["doc_id", "n_tokens", "ids", "counts"]
         for whole in batches:
             for batch in slices(whole, 1, 8 << 20):
                 ids = [x + end for x in model.encode([x or b"" for x in text_bytes(batch.column(1))])]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) // model.width for x in ids], pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "n_tokens", "ids"])
+                total += np.bincount(np.frombuffer(b"".join(ids), model.kind), minlength=len(total))
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) // model.width for x in ids], pa.int64()), pa.array(ids, pa.binary()), pa.nulls(len(ids), pa.binary())], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([0], pa.int64()), pa.array([None], pa.binary()), pa.array([total.tobytes()], pa.binary())], names=names)
 
-    return docs.select("doc_id", text_column).mapInArrow(run, "doc_id long, n_tokens long, ids binary")
+    return docs.select("doc_id", text_column).mapInArrow(run, TOKENS)
 
 
 def pack_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
@@ -94,7 +103,7 @@ def blocks(content: bytes) -> Iterator[tuple[list[int | None], np.ndarray, np.nd
 
 
 def write_token_files(tokens: DataFrame, path: str, vocabulary: int = 1 << 17, block_ids: int = 1 << 20, file_ids: int = 1 << 23) -> None:
-    """Writes ``tokens`` (doc_id, n_tokens, ids) below ``path``.
+    """Writes ``tokens`` (as ``TOKENS``) below ``path``.
 
     The rank table goes to every task; it has a row for each id of the tokenizer, ``vocabulary`` at
     most, whatever the size of the corpus.
@@ -104,13 +113,13 @@ def write_token_files(tokens: DataFrame, path: str, vocabulary: int = 1 << 17, b
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(vocabulary, np.int64)
         for batch in batches:
-            raw, n = b"".join(batch.column(1).to_pylist()), sum(batch.column(0).to_pylist())
-            if n:
-                total += np.bincount(np.frombuffer(raw, f"<u{len(raw) // n}"), minlength=vocabulary)
+            for raw in batch.column(0).to_pylist():
+                part = np.frombuffer(raw, np.int64)
+                total[: len(part)] += part
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], names=["id", "n"])
 
-    counts = tokens.select("n_tokens", "ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = tokens.where("counts is not null").select("counts").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     found = counts.orderBy(F.desc("n"), "id").collect()
     if len(found) > vocabulary:
         raise ValueError("more ids than the vocabulary allows")
@@ -141,15 +150,16 @@ def write_token_files(tokens: DataFrame, path: str, vocabulary: int = 1 << 17, b
         if keys:
             yield out()
 
-    total = tokens.agg(F.sum("n_tokens")).first()[0] or 0
+    tokens = tokens.where("counts is null").drop("counts")
+    total = sum(r["n"] for r in found)
     order = ["doc_id", "n_tokens", F.crc32("ids")]  # so that one repeated doc_id does not fill a partition
     parts = tokens.repartitionByRange(int(min(20_000, max(1, -(-total // file_ids)))), *order).sortWithinPartitions(*order)
     packed = parts.select("doc_id", "n_tokens", "ids").mapInArrow(encode, "block binary")
     packed.select(F.col("block").cast("string").alias("value")).write.option("lineSep", "\n").option("maxRecordsPerFile", max(1, file_ids // block_ids)).text(f"{path}/blocks")
 
 
-def read_token_files(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, start, n_tokens, ids of each document in the files below ``path``."""
+def read_token_files(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
+    """path, doc_id, start (in its file), n_tokens, ids_crc32 and, if wanted, ids (32-bit) of each document below ``path``."""
     table = spark.read.parquet(f"{path}/dictionary").orderBy("rank").collect()
     shared = spark.sparkContext.broadcast(np.array([r["id"] for r in table], "<u4"))
 
@@ -163,11 +173,13 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                     raw, ends = ids[ranks].tobytes(), np.cumsum(lengths, dtype=np.int64)
                     starts = ends - lengths
                     texts = [raw[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist())]
-                    yield pa.RecordBatch.from_arrays([pa.array([path] * len(keys)), pa.array(keys, pa.int64()), pa.array(starts + before, pa.int64()), pa.array(lengths.astype(np.int64)), pa.array(texts, pa.binary())], names=["path", "doc_id", "start", "n_tokens", "ids"])
+                    crcs = pa.array([zlib.crc32(x) for x in texts], pa.int64())
+                    shown = pa.array(texts, pa.binary()) if with_ids else pa.nulls(len(texts), pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array([path] * len(keys)), pa.array(keys, pa.int64()), pa.array(starts + before, pa.int64()), pa.array(lengths.astype(np.int64)), crcs, shown], names=["path", "doc_id", "start", "n_tokens", "ids_crc32", "ids"])
                     before += int(lengths.sum())
 
     files = spark.read.format("binaryFile").load(f"{path}/blocks").where(F.col("length") > 0).select("path", "content")
-    return files.mapInArrow(decode, "path string, doc_id long, start long, n_tokens long, ids binary")
+    return files.mapInArrow(decode, "path string, doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")
 
 
 def with_starts(rows: DataFrame) -> DataFrame:
@@ -188,7 +200,7 @@ def token_file_index(docs: DataFrame, tokenizer: str, end_id: int = 2) -> DataFr
     held = scratch(spark, "token-ids")
     tokenized(docs, tokenizer, end_id).write.option("compression", "zstd").parquet(held)
     path = scratch(spark, "token-files")
-    write_token_files(spark.read.schema("doc_id long, n_tokens long, ids binary").parquet(held), path)
+    write_token_files(spark.read.schema(TOKENS).parquet(held), path)
     discard(spark, held)
-    rows = read_token_files(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    rows = read_token_files(spark, path, with_ids=False).drop("ids")
     return with_starts(staged(rows, "token-index")).select("doc_id", "start", "n_tokens", "ids_crc32")
