@@ -14,13 +14,18 @@ from pyspark.sql import functions as F
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
+#: The characters of Unicode's White_Space.
+BLANKS = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(c: Column) -> Column:
-    """Without Unicode white space at either end (``trim`` knows only the blank)."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    """Without Unicode white space at either end (``trim`` alone knows only the blank)."""
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def collapse(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)\s+", " ")
+    """Runs of white space as one blank; text that has none but single blanks is not rewritten."""
+    return F.when(c.rlike(r"(?U)\s\s|[^\S ]"), F.regexp_replace(c, r"(?U)\s+", " ")).otherwise(c)
 
 
 def normalized_key(c: Column) -> Column:

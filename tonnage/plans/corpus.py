@@ -137,18 +137,16 @@ def competitions(rows: DataFrame, build: Build) -> DataFrame:
     return canonical(rows.withColumns(columns), "competition")
 
 
-def _long(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """A row for each cell of ``columns`` that is not blank, with the number it says."""
-    cells = rows.select(ORDINAL, "competition_id", "athlete_id", "Date", *(blank_to_null(F.col(c)).alias(c) for c in columns))
-    long = cells.unpivot([ORDINAL, "competition_id", "athlete_id", "Date"], columns, "column", "cell").where("cell is not null")
-    return long.withColumn("number", number(F.col("cell")))
+def _long(rows: DataFrame, spec: dict[str, dict[str, object]]) -> DataFrame:
+    """A row for each cell of the columns of ``spec`` that is not blank, with the number it says and what its column means."""
+    entries = [F.when(strip(F.col(c)) != "", F.struct(F.lit(c).alias("column"), F.col(c).alias("cell"), *(F.lit(v).alias(k) for k, v in means.items()))) for c, means in spec.items()]
+    long = rows.select(ORDINAL, "competition_id", "athlete_id", "Date", F.explode(F.array_compact(F.array(*entries))).alias("e"))
+    return long.select(ORDINAL, "competition_id", "athlete_id", "Date", "e.*").withColumn("number", number(F.col("cell")))
 
 
 def attempts(rows: DataFrame, build: Build) -> DataFrame:
     """A negative cell is a failed attempt at its magnitude; zero and unreadable cells are no attempts."""
-    kept = _long(rows, list(ATTEMPTS)).where("number <> 0")
-    spec = {k: mapped(F.col("column"), {c: v[i] for c, v in ATTEMPTS.items()}) for i, k in enumerate(("lift", "attempt_number", "attempt_role"))}
-    kept = kept.withColumns({k: v.cast("bigint") if k == "attempt_number" else v for k, v in spec.items()})
+    kept = _long(rows, {c: dict(zip(("lift", "attempt_number", "attempt_role"), v)) for c, v in ATTEMPTS.items()}).where("number <> 0")
     load = F.abs("number")
     columns = _provenance(build, _row_key()) | {
         "competition_attempt_id": ids.make_id("competition_attempt", ids.text_part(F.col("competition_id")), ids.text_part(F.col("lift")), ids.int_part(F.col("attempt_number"))),
@@ -166,11 +164,10 @@ def attempts(rows: DataFrame, build: Build) -> DataFrame:
 
 def reported_results(rows: DataFrame, build: Build) -> DataFrame:
     """Results as the source reports them; a negative best means that only failed attempts exist."""
-    kept = _long(rows, list(REPORTED)).where("number <> 0")
+    kept = _long(rows, {c: {"result_kind": v} for c, v in REPORTED.items()}).where("number <> 0")
     best = F.col("column").startswith("Best3")
     columns = _provenance(build, _row_key()) | {
         "competition_reported_result_id": ids.make_id("competition_reported_result", ids.text_part(F.col("competition_id")), ids.text_part(F.col("column"))),
-        "result_kind": mapped(F.col("column"), REPORTED),
         "value": F.abs("number"),
         "unit": F.when(best | (F.col("column") == "TotalKg"), "kg"),
         "source_value_raw": F.col("number"),
