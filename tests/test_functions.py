@@ -111,8 +111,8 @@ def test_versions():
 
     from tonnage.functions.versions import Version, as_utc
 
-    old, new = Version.parse("psd-canonical/1.0.3"), Version.parse("psd-canonical/1.1.0")
-    assert old.readable_by(new) and not new.readable_by(old) and str(new) == "psd-canonical/1.1.0"
+    old, new = Version.parse("canonical/1.0.3"), Version.parse("canonical/1.1.0")
+    assert old.readable_by(new) and not new.readable_by(old) and str(new) == "canonical/1.1.0"
     with pytest.raises(ValueError, match="no version"):
         Version.parse("1.0")
     with pytest.raises(ValueError, match="no time zone"):

@@ -6,8 +6,8 @@ import re
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-#: What this build writes.
-CURRENT = {"schema": "psd-canonical/1.1.0", "manifest": "psd-manifest/0.1.0", "ontology": "psd-ontology/1.0.0", "aliases": "psd-ontology-alias/1.0.0"}
+#: What this build writes.
+CURRENT = {"schema": "canonical/1.1.0", "manifest": "manifest/0.1.0", "ontology": "ontology/1.0.0", "aliases": "ontology-alias/1.0.0"}
 
 
 @dataclass(frozen=True, order=True)

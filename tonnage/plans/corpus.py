@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tonnage.functions import ids
-from tonnage.functions.text import blank_to_null, collapse, day, fit, flags, mapped, normalized_key, number, strip, too_long, unreadable  # noqa: F401
+from tonnage.functions.text import blank_to_null, day, fit, flags, mapped, normalized_key, number, strip, too_long, unreadable
 from tonnage.plans.schema import TABLES
 from tonnage.sources.competition_csv import COLUMNS, ORDINAL
 
