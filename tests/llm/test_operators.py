@@ -66,6 +66,18 @@ def test_rank_coding_round_trip(values):
     assert token_files.unpack_ranks(*token_files.pack_ranks(ranks), len(ranks)).tolist() == values
 
 
+@pytest.fixture(scope="module")
+def chunks():
+    return token_files.encoder(queries.word_bpe())
+
+
+@given(st.text(st.sampled_from(list("abXYZ  \n\t'stre0129.,!?-_<|>ÉßİıΣςµªº²\u0301\u0308\u00a0\u200bẞﬁ\u3000中한\U0001f600\x1c\x85\x00ŉǰ")), max_size=30))
+@settings(max_examples=400, deadline=None)
+def test_chunked_encoding_is_the_library_s(chunks, text):
+    raw = text.encode()
+    assert chunks.encode([raw])[0] == chunks.whole(raw)
+
+
 def test_packing_places_every_piece(docs, tokenizer):
     got = packing.pack_documents(docs, queries.word_bpe(), capacity=256).collect()
     expected = []
