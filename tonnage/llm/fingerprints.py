@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tonnage.llm.common import forget, offsets_of, slices, text_bytes
+from tonnage.llm.common import forget, offsets_of, slices
 
 _GEAR = np.random.Generator(np.random.PCG64(0x6765)).integers(0, 1 << 32, 256, dtype=np.uint32)
 LEAST, WANTED, MOST = 16, 40, 192
@@ -107,7 +107,7 @@ def compared(docs: DataFrame, parts: int | None = None) -> DataFrame:
     ids = keyed.select("at")
     if parts is None:
         size = keyed.agg(F.sum(F.length("text"))).first()[0] or 0
-        parts = min(8192, max(2, int(size >> 24)))  # ranges are sorted outside Python and streamed: their size is no bound
+        parts = min(8192, max(8, int(size >> 23)))  # ranges are sorted outside Python and streamed: their size is no bound
     edges = sorted({int(x) for x in ids.approxQuantile("at", [k / parts for k in range(1, parts)], 1 / (4 * parts))})
     bucket = F.lit(0)
     for edge in edges if len(edges) <= 64 else ():
@@ -126,7 +126,7 @@ def compared(docs: DataFrame, parts: int | None = None) -> DataFrame:
     own = dealt.select("part", F.lit(0).alias("tail"), "at", F.xxhash64("text").alias("h"), "doc_id", "text")
     tails = keyed.where(F.col("at").isin(list(after))).withColumn("h", F.xxhash64("text")).join(F.broadcast(table), ["at", "h"])
     tails = tails.dropDuplicates(["at", "h", "part"]).select("part", F.lit(1).alias("tail"), "at", "h", "doc_id", "text")
-    rows = own.unionByName(tails).repartition(max(2, len(heads)), "part").sortWithinPartitions("part", "tail", "at", "h")
+    rows = own.unionByName(tails).repartitionById(heads[-1][0] + 1, "part").sortWithinPartitions("part", "tail", "at", "h")
     return rows.select("part", "tail", "doc_id", "text").mapInArrow(_compare, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
 
 
