@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tonnage.functions.aggregates import count_distinct_of_few
 from tonnage.plans.catalogue import Tables, query
 
 
@@ -21,9 +22,9 @@ def group_history_per_customer(t: Tables):
         F.min_by("o_orderkey", order).alias("first_order"),
         F.max_by("o_orderkey", order).alias("last_order"),
         F.count("*").alias("orders"),
-        F.countDistinct(F.year("o_orderdate")).alias("years"),
+        count_distinct_of_few(F.year("o_orderdate")).alias("years"),
         closed.alias("closed"),
-        F.countDistinct("o_orderpriority").alias("priorities"),
+        count_distinct_of_few("o_orderpriority").alias("priorities"),
         F.datediff(F.max("o_orderdate"), F.min("o_orderdate")).cast("long").alias("span_days"),
         (closed / F.count("*")).alias("closed_share"),
     )
@@ -44,7 +45,7 @@ def count_filter_multi(t: Tables):
 
 @query("SELECT o_custkey, CAST(count(DISTINCT o_orderstatus) AS BIGINT) AS statuses FROM orders GROUP BY o_custkey HAVING count(DISTINCT o_orderstatus) > 1")
 def having_distinct_gt1(t: Tables):
-    return t.orders.groupBy("o_custkey").agg(F.countDistinct("o_orderstatus").alias("statuses")).where("statuses > 1")
+    return t.orders.groupBy("o_custkey").agg(count_distinct_of_few("o_orderstatus").alias("statuses")).where("statuses > 1")
 
 
 @query("""WITH g AS (SELECT p_brand AS member, count(*) AS n FROM (SELECT CASE WHEN p_partkey % 9 > 0 THEN p_brand END AS p_brand FROM part) GROUP BY 1)
@@ -88,8 +89,8 @@ def list_distinct_sorted(t: Tables):
 @query("""SELECT o_custkey, o_orderpriority FROM (SELECT o_custkey, o_orderpriority, count(DISTINCT year(o_orderdate)) AS n FROM orders GROUP BY ALL) JOIN (SELECT o_custkey, count(DISTINCT year(o_orderdate)) AS years FROM orders GROUP BY 1) USING (o_custkey) WHERE n = years AND years > 1""")
 def set_intersection_by_count(t: Tables):
     year = F.year("o_orderdate")
-    each = t.orders.groupBy("o_custkey", "o_orderpriority").agg(F.countDistinct(year).alias("n"))
-    every = t.orders.groupBy("o_custkey").agg(F.countDistinct(year).alias("years")).where("years > 1")
+    each = t.orders.groupBy("o_custkey", "o_orderpriority").agg(count_distinct_of_few(year).alias("n"))
+    every = t.orders.groupBy("o_custkey").agg(count_distinct_of_few(year).alias("years")).where("years > 1")
     return each.join(every, "o_custkey").where("n = years").select("o_custkey", "o_orderpriority")
 
 
