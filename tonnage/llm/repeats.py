@@ -19,7 +19,6 @@ Repeats are collected by document and cut out of its bytes.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -303,7 +302,7 @@ def repeats(docs: DataFrame, *, length: int = 100, bucket_bytes: int = 8 << 20,
     size = docs.agg(F.sum(F.length(F.col("text").cast("binary")))).first()[0] or 0
     buckets = int(max(16, size // bucket_bytes))
     dealt = docs.select("doc_id", "th", "text").mapInArrow(_deal(length, buckets), "bucket int, docs binary, anchors binary")
-    dealt = dealt.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    dealt = dealt.repartitionById(buckets, "bucket").sortWithinPartitions("bucket")
     found = staged(dealt.mapInArrow(_matched(length, most_contexts), "kind byte, doc_id long, th long, h long, at int, n int"), "anchors")
     wanted = found.where("kind > 0").groupBy("doc_id", "th").agg(F.collect_list(F.struct("kind", "h", "at", "n")).alias("wanted"))
     joined = with_lists(docs.select("doc_id", "th", "text"), wanted, "inner").select("doc_id", "th", "text", "wanted")
