@@ -16,6 +16,8 @@ def session(master: str | None = None, **conf: str) -> SparkSession:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # the JVM never compiles a method of more than 8000 bytes; wide projections are then better off in pieces
+        "spark.sql.codegen.hugeMethodLimit": "8000",
     }
     for key, value in (settings | {k.replace("__", "."): v for k, v in conf.items()}).items():
         builder = builder.config(key, value)

@@ -67,18 +67,17 @@ def read_csv(spark: SparkSession, path: str, header: tuple[str, ...] = COLUMNS)
     """All columns as text, empty cells null, with the zero-based number of each row in the file.
 
     The format has no quoting, so lines are rows.  A row's number is the number of lines in the splits
-    before its own, known from one counting pass (a row a split), and its place in its split; lines
-    never leave generated code.
+    before its own, known from one counting pass (a row a split, which every task can hold), and its place
+    in its split; lines are neither shuffled nor taken out of generated code.
     """
     lines = spark.read.text(path).select("value", F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("place"))
     splits = lines.groupBy("split").agg(F.count("*").alias("n"), F.min("place").alias("first"))
     before = F.coalesce(F.sum("n").over(Window.orderBy("split").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     table = splits.select("split", (before - F.col("first")).alias("shift"))
-    numbered = lines.join(table, "split").select((F.col("place") + F.col("shift") - 1).alias(ORDINAL), F.col("value").alias("line"))
-    cells = F.split(F.regexp_replace("line", r"\r$", ""), ",", -1)
-    columns = [F.when(F.get(cells, F.lit(k)) != "", F.get(cells, F.lit(k))).alias(c) for k, c in enumerate(header)]
-    rows = numbered.where((F.col(ORDINAL) >= 0) & (F.length("line") > 0))
-    return rows.select(ORDINAL, *columns).select(ORDINAL, *COLUMNS)
+    numbered = lines.join(F.broadcast(table), "split").select((F.col("place") + F.col("shift") - 1).alias(ORDINAL), F.col("value").alias("line"))
+    # cells in a column of their own: split once a row
+    rows = numbered.where((F.col(ORDINAL) >= 0) & (F.length("line") > 0)).select(ORDINAL, F.split(F.rtrim("line", F.lit("\r")), ",", -1).alias("cells"))
+    return rows.select(ORDINAL, *(F.nullif(F.get("cells", F.lit(header.index(c))), F.lit("")).alias(c) for c in COLUMNS))
 
 
 def count_rows(path: str | Path) -> int:
