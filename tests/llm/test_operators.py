@@ -9,7 +9,7 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tests.llm.helpers import documents, rows
+from tests.llm.helpers import documents, prose, rows
 from tonnage.llm import decontamination, fingerprints, language, lines, packing, queries, repeats, scoring, simhash, suffixes, token_files, warc
 from tonnage.llm.components import components
 
@@ -352,6 +352,39 @@ def test_one_of_each_keeps_one(docs):
     assert rows()[20][1] in texts and rows()[21][1] not in texts
 
 
+def variant(text, n, seed):
+    """``text`` with ``n`` words replaced at about equal distances."""
+    words = text.split()
+    for k in range(n):
+        words[(seed + (2 * k + 1) * len(words) // (2 * n)) % len(words)] = f"new{seed}x{k}"
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("block", [2, 512])
+def test_one_of_each_links_by_similarity_alone(spark, block):
+    texts = []
+    for base in range(30):
+        text = prose(500 + base, 150 + 10 * base)
+        texts += [text, *(variant(text, len(text.split()) * n // 1000, 7 + n) for n in (6, 14, 20, 26, 30, 36, 44))]
+    texts += ["alpha beta", "Alpha  BETA", "", None]
+
+    def shingles(t):
+        w = (t or "").lower().split()
+        return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+
+    sets = [shingles(t) for t in texts]
+    label, close, wide = list(range(len(texts))), 0, 0
+    for a in range(len(texts)):
+        for b in range(a):
+            both, of = len(sets[a] & sets[b]), len(sets[a] | sets[b])
+            close, wide = close + (0.8 <= both / max(1, of) < 0.85), wide + (0.7 <= both / max(1, of) < 0.8)
+            if 10 * both >= 8 * of:
+                label = [min(label[a], label[b]) if x in (label[a], label[b]) else x for x in label]
+    assert close > 20 and wide > 20
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in simhash.one_of_each(docs, block=block).collect()) == sorted(set(label))
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 101), (7, 7)], "a long, b long")
     got = {r.node: r.root for r in components(edges).collect()}

@@ -5,13 +5,16 @@ segments; each enters a table under every segment's value and looks up the value
 ball around it, and whole distances decide.  Equal fingerprints are one entry, however many documents
 have them.  A bucket gives a spanning forest of its links, not its pairs; a bucket of many entries is
 dealt in blocks, two blocks to a group, so no group is larger than that and none is cut.
+
+``one_of_each`` takes such links for candidates only: within each component of candidates the
+shingle sets themselves are compared, and only pairs that are as similar as asked for are linked.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +28,9 @@ from tonnage.llm.components import components
 #: (word of the fingerprint, lowest bit, bits, radius of the ball)
 Segment = tuple[int, int, int, int]
 _PAIRS = 1 << 20
+#: Shingles of a block of sets, bits of the map of wanted rows.
+_SHINGLES = 1 << 20
+_BITMAP = 1 << 23
 
 
 def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
@@ -42,7 +48,10 @@ def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
 
 def fingerprint(text: bytes, shingle: int, words: int) -> bytes:
     """``words`` little-endian 64-bit words; the first has the majorities of the hashes' own bits."""
-    h = shingle_hashes(text, shingle)
+    return majorities(shingle_hashes(text, shingle), words)
+
+
+def majorities(h: np.ndarray, words: int) -> bytes:
     if not len(h):
         return bytes(8 * words)
     columns = [h]
@@ -214,17 +223,143 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 4, distance: int = 4) ->
     return prints.join(found, "fp").select("doc_id", shown.alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, *, shingle: int = 5, words: int = 4, tables: int = 16, distance: int = 44) -> DataFrame:
+def shingle_set(text: bytes, shingle: int) -> np.ndarray:
+    """The distinct hashes of the word shingles of ``text``, sorted."""
+    return np.unique(shingle_hashes(text, shingle))
+
+
+def _set_digest(shingles: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(shingles.tobytes())
+
+
+def sketched(docs: DataFrame, shingle: int, words: int) -> DataFrame:
+    """doc_id, h (a hash of the text), node (128-bit digest of the shingle set), size (of that set) and its fp of every row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
+        for batch in batches:
+            found = [shingle_set(x or b"", shingle) for x in text_bytes(batch.column(2))]
+            columns = [pa.array(map(_set_digest, found), pa.binary()), pa.array(map(len, found), pa.int64()), pa.array((majorities(x, words) for x in found), pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["doc_id", "h", "node", "size", "fp"])
+
+    return docs.select("doc_id", F.xxhash64("text").alias("h"), "text").mapInArrow(run, "doc_id long, h long, node binary, size long, fp binary")
+
+
+def similar_sets(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """A spanning forest of all pairs whose sets (distinct values) have a Jaccard similarity of ``similarity`` or more."""
+    sizes = np.array([len(x) for x in sets])
+    value, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(value, kind="stable")
+    value, owner = value[order], owner[order]
+    free = np.ones(len(sets), bool)
+    edges = []
+    for first in range(len(sets)):
+        reached = [first] if free[first] else []
+        free[first] = False
+        while reached:  # what is linked already needs no further comparison
+            k = reached.pop()
+            start = np.searchsorted(value, sets[k], side="left")
+            n = np.searchsorted(value, sets[k], side="right") - start
+            at = np.repeat(start - np.cumsum(n) + n, n) + np.arange(n.sum())
+            common = np.bincount(owner[at], minlength=len(sets))
+            near = np.flatnonzero(free & (common + 1e-9 >= similarity * (sizes[k] + sizes - common))).tolist()
+            if near:
+                edges += [(k, x) for x in near]
+                reached += near
+                free[near] = False
+                held = free[owner]
+                value, owner = value[held], owner[held]
+    return edges
+
+
+def _similar(similarity: float):
+    """Spanning forests of the similar pairs within groups; rows (group, pair, node, shingles) come sorted by the first two."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
+
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                yield from zip(*(batch.column(k).to_pylist() for k in range(4)))
+
+        found: list[tuple[bytes, bytes]] = []
+
+        def drained() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array([e[k] for e in found], pa.binary()) for k in range(2)], names=["a", "b"])
+            found.clear()
+            return out
+
+        for _, members in groupby(rows(), key=lambda r: r[:2]):
+            nodes, sets = zip(*((r[2], np.frombuffer(r[3], np.uint64)) for r in members))
+            found += [(nodes[a], nodes[b]) for a, b in similar_sets(list(sets), similarity)]
+            if len(found) > 10_000:
+                yield drained()
+        yield drained()
+
+    return run
+
+
+def _sets_of(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """k (a hash of doc_id and text), node, shingles of the rows with a k of ``wanted`` and of few others.
+
+    A bitmap of fixed size keeps most other rows from being hashed and shuffled; the join by k and node drops the rest.
+    """
+    at = f"(k & {_BITMAP - 1})"
+    words = wanted.selectExpr(f"shiftright({at}, 6) as word", f"shiftleft(1L, cast({at} & 63 as int)) as bit").groupBy("word").agg(F.expr("bit_or(bit)").alias("bits")).toArrow()
+    bitmap = np.zeros(_BITMAP >> 6, np.int64)
+    bitmap[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
+        for whole in batches:
+            key = whole.column(0).to_numpy() & (_BITMAP - 1)
+            batch = whole.take(pa.array(np.flatnonzero(bitmap[key >> 6] >> (key & 63) & 1)))
+            found = [shingle_set(x or b"", shingle) for x in text_bytes(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(_set_digest, found), pa.binary()), pa.array((x.tobytes() for x in found), pa.binary())], names=["k", "node", "shingles"])
+
+    return docs.select(F.xxhash64("doc_id", F.xxhash64("text")).alias("k"), "text").mapInArrow(run, "k long, node binary, shingles binary")
+
+
+def similar(docs: DataFrame, nodes: DataFrame, shingle: int, similarity: float, block: int = 512) -> DataFrame:
+    """a, b: enough pairs to connect all nodes that are as similar within a group of ``nodes`` (node, group, size, k of one row that has it).
+
+    A group of many nodes or long sets is dealt in blocks, two blocks to a task's group, so every pair meets.
+    """
+    parts = F.greatest(F.count("*") / block, F.sum("size") / _SHINGLES)
+    groups = nodes.groupBy("group").agg(F.count("*").alias("n"), F.when(parts > 2, F.ceil(parts)).otherwise(1).cast("int").alias("blocks")).where("n > 1")
+    wanted = staged(nodes.join(groups, "group").select("node", "k", "group", "blocks"), "candidates")
+    rows = _sets_of(docs, wanted, shingle).join(wanted, ["node", "k"]).dropDuplicates(["node"])
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    pair = F.least("own", "other") * 65536 + F.greatest("own", "other")
+    dealt = dealt.select("group", pair.cast("long").alias("pair"), "node", "shingles")
+    return dealt.repartition("group", "pair").sortWithinPartitions("group", "pair").mapInArrow(_similar(similarity), "a binary, b binary")
+
+
+def _rooted(rows: DataFrame, column: str, edges: DataFrame, name: str) -> DataFrame:
+    """``rows`` with ``name``: the root of ``column`` in the components of ``edges``, or itself."""
+    roots = components(edges).select(F.col("node").alias(column), F.col("root").alias(name))
+    return rows.join(roots, column, "left").withColumn(name, F.coalesce(name, column))
+
+
+def one_of_each(docs: DataFrame, *, shingle: int = 5, words: int = 4, tables: int = 16, distance: int = 64, similarity: float = 0.8, block: int = 512) -> DataFrame:
     """``docs`` without near-duplicates: of every group the row of least doc_id stays, with all its columns.
 
-    ``distance`` of 256 bits takes in four fifths of pairs with a five-word-shingle similarity of just 0.8 (39 bits
-    expected, deviation 6), more of closer ones, and hardly any below 0.6.
+    Groups are the components of pairs whose sets of word shingles (as 64-bit hashes) have a Jaccard similarity of
+    ``similarity`` or more; every link is verified on the sets.  Fingerprints of the sets only find candidates: a pair of
+    just 0.8 has 39 of 256 bits apart (deviation 6), is within ``distance`` but for one in 10 000 and meets in some
+    table with a probability of 0.994, closer ones more surely.
     A null doc_id counts as the largest; of rows equal in doc_id and text one stays.
     """
-    prints = staged(fingerprinted(docs, shingle, words), "simhash")
-    found = classes(prints, lambda n: near_segments(words, tables, n), words, distance)
+    prints = staged(sketched(docs, shingle, words), "simhash")
+    fps = staged(prints.select("fp").distinct(), "fingerprints")
     least = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
-    kept = prints.join(found, "fp").groupBy("component_id").agg(F.min(least).alias("k")).select("k.doc_id", "k.h")
+    nodes = staged(prints.groupBy("node", "fp", "size").agg(F.min(least).alias("k")), "shingle-sets")
+    grouped = _rooted(nodes, "fp", linked(fps, near_segments(words, tables, fps.count()), words, distance), "group")
+    grouped = staged(grouped.select("node", "group", "size", F.xxhash64("k.doc_id", "k.h").alias("k")), "grouped")
+    edges = similar(docs, grouped, shingle, similarity, block)
+    found = _rooted(nodes.select("node", "k"), "node", edges, "component_id")
+    kept = found.groupBy("component_id").agg(F.min("k").alias("k")).select("k.doc_id", "k.h")
     many = prints.groupBy("doc_id", "h").agg(F.count("*").alias("n")).where("n > 1")
     key = [F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")), F.col("d.h") == F.col("k.h")]
     rows = docs.withColumn("h", F.xxhash64("text")).alias("d")
