@@ -6,6 +6,7 @@ import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -46,10 +47,25 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 
 
 def _staged_at(df: DataFrame, path: str) -> DataFrame:
-    df.write.option("compression", "zstd").parquet(path)
+    # nothing reads the write's shuffles again: without this they fill the disks until the driver collects garbage
+    with settings(df.sparkSession, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for the length of a block; what was set before comes back."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Deletes a scratch path that no later plan reads."""
     jvm = spark.sparkContext._jvm

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 from itertools import accumulate, groupby
 
 import numpy as np
@@ -25,8 +26,12 @@ from pyspark.sql import functions as F
 from tonnage.llm.common import ASCII_LOWER, forget, staged, text_bytes
 from tonnage.llm.components import components
 
-#: (word of the fingerprint, lowest bit, bits, radius of the ball)
-Segment = tuple[int, int, int, int]
+#: (positions of the segment's bits in the fingerprint, radius of the ball)
+Segment = tuple[tuple[int, ...], int]
+#: Distinct fingerprints that a value of a near segment stands for, at most, if they were random.
+BUCKET = 8
+#: Tables that are searched at a time: what a round shuffles has a bound for each fingerprint.
+_ROUND = 8
 _PAIRS = 1 << 20
 #: Shingles of a block of sets, bits of the map of wanted rows.
 _SHINGLES = 1 << 20
@@ -91,34 +96,63 @@ def exact_segments(distance: int, entries: int) -> list[Segment]:
     radius, more = divmod(distance, m)
     widths = [64 // m + (k < 64 % m) for k in range(m)]
     lows = [0, *accumulate(widths)]
-    return [(0, lows[k], widths[k], radius if k <= more else radius - 1) for k in range(m) if k <= more or radius]
+    return [(tuple(range(lows[k], lows[k + 1])), radius if k <= more else radius - 1) for k in range(m) if k <= more or radius]
 
 
-def near_segments(words: int, tables: int, entries: int) -> list[Segment]:
-    """``tables`` segments of radius 1 with about as many values as there are ``entries`` (16 bits at least)."""
-    per = tables // words
-    bits = min(64 // per, max(16, math.ceil(math.log2(max(2, entries)))))
-    return [(w, k * (64 // per), bits, 1) for w in range(words) for k in range(per)]
+def _missed(total: int, rate: float, bits: int, tables: int) -> float:
+    """The share of pairs, apart in each of ``total`` bits with probability ``rate``, that meet in none of the tables."""
+    out = 0.0
+    for apart in range(total + 1):
+        weight = math.lgamma(total + 1) - math.lgamma(apart + 1) - math.lgamma(total - apart + 1) + apart * math.log(rate) + (total - apart) * math.log(1 - rate)
+        same = 1 - apart / total
+        out += math.exp(weight) * (1 - same**bits - bits * (1 - same) * same ** (bits - 1)) ** tables
+    return out
+
+
+def near_segments(words: int, entries: int, similarity: float, recall: float = 0.99) -> list[Segment]:
+    """Segments of radius 1 that find pairs of sets as similar as ``similarity`` with a probability of ``recall``.
 
+    A segment's bits follow the number of ``entries``: one of its values stands for ``BUCKET`` random fingerprints
+    at most, however many there are.  The more bits, the more tables: about as the fourth root of the
+    entries.  Bits are dealt by seeded permutations; segments of one permutation have no bit in common.
+    """
+    total = 64 * words
+    bits = max(8, math.ceil(math.log2(max(2, entries) / BUCKET)))
+    # sets of one size with that Jaccard similarity have this cosine; each bit tells them apart at its angle
+    rate = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    tables = 1
+    while _missed(total, rate, bits, tables) > 1 - recall:
+        tables += 1
+    deal = np.random.Generator(np.random.PCG64(0x6E73))
+    found: list[Segment] = []
+    while len(found) < tables:
+        order = deal.permutation(total).tolist()
+        found += [(tuple(order[k : k + bits]), 1) for k in range(0, total - bits + 1, bits)]
+    return found[:tables]
+
+
+def _keys(segments: list[tuple[int, Segment]], words: int):
+    """(2 * key + 1 if it is looked up, 0 if it is entered; fingerprint) of every (number, segment)."""
 
-def _keys(segments: list[Segment], words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 2000):
                 column = whole.column(0).slice(at, 2000)
-                values = np.frombuffer(b"".join(column.to_pylist()), "<u8").reshape(-1, words)
-                for s, (word, low, bits, radius) in enumerate(segments):
-                    v = (values[:, word] >> np.uint64(low)).astype(np.int64) & ((1 << bits) - 1)
-                    rows, keys, probe = [np.arange(len(v))], [v], [np.zeros(len(v), np.int8)]
+                bits_of = np.unpackbits(np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, 8 * words), axis=1, bitorder="little").T.astype(np.int64)
+                for s, (positions, radius) in segments:
+                    bits = len(positions)
+                    v = sum(bits_of[p] << k for k, p in enumerate(positions))
+                    rows, keys, probe = [np.arange(len(v))], [v], [np.zeros(len(v), np.int64)]
                     for flip in range(bits) if radius else ():
                         # of two values one bit apart, the one without that bit looks the other up
                         mine = np.flatnonzero(v >> flip & 1 == 0) if radius == 1 else rows[0]
                         for second in (None, *range(flip)) if radius == 2 else (None,):
                             rows.append(mine)
                             keys.append(v[mine] ^ (1 << flip) ^ (0 if second is None else 1 << second))
-                            probe.append(np.ones(len(mine), np.int8))
+                            probe.append(np.ones(len(mine), np.int64))
                     taken = pa.array(np.concatenate(rows))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys) + (s << 40)), pa.array(np.concatenate(probe)), column.take(taken)], names=["key", "probe", "fp"])
+                    marked = (np.concatenate(keys) + (s << 40)) * 2 + np.concatenate(probe)
+                    yield pa.RecordBatch.from_arrays([pa.array(marked), column.take(taken)], names=["g", "fp"])
 
     return run
 
@@ -161,43 +195,47 @@ def _forest(words: int, distance: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
-        parts: list[tuple] = []
-
-        def joined() -> tuple:
-            return (*(np.concatenate([p[k] for p in parts]) for k in range(3)), [x for p in parts for x in p[3]])
-
+        marks: list[np.ndarray] = []
+        raws: list[bytes] = []
         for batch in batches:
-            parts.append((*(batch.column(k).to_numpy() for k in range(3)), batch.column(3).to_pylist()))
-            if sum(len(p[0]) for p in parts) < 100_000:
+            marks.append(batch.column(0).to_numpy())
+            raws += batch.column(1).to_pylist()
+            if len(raws) < 100_000:
                 continue
-            held = joined()
-            group = _runs(held[0], held[1])
-            whole = int(np.searchsorted(group, group[-1]))
+            held = np.concatenate(marks)
+            whole = int(np.searchsorted(held >> 1, held[-1] >> 1))
             if whole:
-                yield solve(group[:whole], held[2][:whole], held[3][:whole])
-            parts = [tuple(x[whole:] for x in held)]
-        if parts and len(parts[0][0]):
-            yield solve(*(lambda h: (_runs(h[0], h[1]), h[2], h[3]))(joined()))
+                yield solve(held[:whole] >> 1, held[:whole] & 1, raws[:whole])
+            marks, raws = [held[whole:]], raws[whole:]
+        if raws:
+            held = np.concatenate(marks)
+            yield solve(held >> 1, held & 1, raws)
 
     return run
 
 
-def _runs(key: np.ndarray, pair: np.ndarray) -> np.ndarray:
-    return np.cumsum(np.concatenate(([0], (key[1:] != key[:-1]) | (pair[1:] != pair[:-1]))))
-
-
 def linked(fps: DataFrame, segments: list[Segment], words: int, distance: int, block: int = 1024) -> DataFrame:
-    """a, b: for every group of linked fingerprints enough pairs to connect it.  ``fps``: distinct ``fp``."""
-    rows = fps.select("fp").mapInArrow(_keys(segments, words), "key long, probe byte, fp binary")
-    entries = fps.select("fp").mapInArrow(_keys([(*s[:3], 0) for s in segments], words), "key long, probe byte, fp binary")
-    hot = entries.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 2 * block)
+    """a, b: for every group of linked fingerprints enough pairs to connect it.  ``fps``: distinct ``fp``.
+
+    Tables are searched in rounds; the links of each are written before the next begins.
+    """
+    numbered = list(enumerate(segments))
+    entered = fps.select("fp").mapInArrow(_keys([(s, (positions, 0)) for s, (positions, _) in numbered], words), "g long, fp binary")
+    hot = entered.groupBy(F.shiftright("g", 1).alias("key")).agg(F.count("*").alias("n")).where(F.col("n") > 2 * block)
     hot = staged(hot.select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "hot-buckets")
-    dealt = rows.join(hot, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    pair = F.least("own", "other") * 65536 + F.greatest("own", "other")
-    grouped = dealt.select("key", pair.cast("long").alias("pair"), "probe", "fp").repartition("key", "pair").sortWithinPartitions("key", "pair", "probe")
-    return grouped.mapInArrow(_forest(words, distance), "a binary, b binary")
+    found = []
+    for at in range(0, len(numbered), _ROUND):
+        rows = fps.select("fp").mapInArrow(_keys(numbered[at : at + _ROUND], words), "g long, fp binary")
+        dealt = rows.join(hot, F.shiftright("g", 1) == F.col("key"), "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+        dealt = dealt.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        # rows of a hot key go by key and pair of blocks; where hashes meet, groups are compared that need not be
+        pair = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
+        group = F.when(F.col("blocks") > 1, F.shiftleft(F.shiftright(pair, 1), 1) + F.col("g").bitwiseAND(1)).otherwise(F.col("g"))
+        grouped = dealt.select(group.alias("g"), "fp").repartition(F.shiftright("g", 1)).sortWithinPartitions("g")
+        edges = grouped.mapInArrow(_forest(words, distance), "a binary, b binary")
+        found.append(staged(edges, "links") if len(numbered) > _ROUND else edges)
+    return reduce(DataFrame.unionByName, found)
 
 
 def classes(prints: DataFrame, segments_for, words: int, distance: int) -> DataFrame:
@@ -342,30 +380,31 @@ def _rooted(rows: DataFrame, column: str, edges: DataFrame, name: str) -> DataFr
     return rows.join(roots, column, "left").withColumn(name, F.coalesce(name, column))
 
 
-def one_of_each(docs: DataFrame, *, shingle: int = 5, words: int = 4, tables: int = 16, distance: int = 64, similarity: float = 0.8, block: int = 512) -> DataFrame:
+def one_of_each(docs: DataFrame, *, shingle: int = 5, words: int = 3, distance: int = 48, similarity: float = 0.8, recall: float = 0.99, block: int = 512) -> DataFrame:
     """``docs`` without near-duplicates: of every group the row of least doc_id stays, with all its columns.
 
     Groups are the components of pairs whose sets of word shingles (as 64-bit hashes) have a Jaccard similarity of
     ``similarity`` or more; every link is verified on the sets.  Fingerprints of the sets only find candidates: a pair of
-    just 0.8 has 39 of 256 bits apart (deviation 6), is within ``distance`` but for one in 10 000 and meets in some
-    table with a probability of 0.994, closer ones more surely.
-    A null doc_id counts as the largest; of rows equal in doc_id and text one stays.
+    just 0.8 has 29 of 192 bits apart (deviation 5), is within ``distance`` but for one in 10 000 and meets in some
+    table with the probability ``recall``, closer ones more surely.
+    A null text has no words, like a blank one; of such rows one stays.  A null doc_id counts as the largest; of rows
+    equal in doc_id and text one stays.  Columns beside doc_id and text pass through, whatever their names.
     """
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "doc_id", F.xxhash64("text").alias("h"))
     prints = staged(sketched(docs, shingle, words), "simhash")
     fps = staged(prints.select("fp").distinct(), "fingerprints")
     least = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
     nodes = staged(prints.groupBy("node", "fp", "size").agg(F.min(least).alias("k")), "shingle-sets")
-    grouped = _rooted(nodes, "fp", linked(fps, near_segments(words, tables, fps.count()), words, distance), "group")
+    segments = near_segments(words, fps.count(), similarity, recall)
+    grouped = _rooted(nodes, "fp", linked(fps, segments, words, distance), "group")
     grouped = staged(grouped.select("node", "group", "size", F.xxhash64("k.doc_id", "k.h").alias("k")), "grouped")
     edges = similar(docs, grouped, shingle, similarity, block)
     found = _rooted(nodes.select("node", "k"), "node", edges, "component_id")
     kept = found.groupBy("component_id").agg(F.min("k").alias("k")).select("k.doc_id", "k.h")
     many = prints.groupBy("doc_id", "h").agg(F.count("*").alias("n")).where("n > 1")
-    key = [F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")), F.col("d.h") == F.col("k.h")]
-    rows = docs.withColumn("h", F.xxhash64("text")).alias("d")
-    kept = kept.alias("p").join(many.alias("k"), [F.col("p.doc_id").eqNullSafe(F.col("k.doc_id")), F.col("p.h") == F.col("k.h")], "left").select("p.doc_id", "p.h", (F.coalesce("n", F.lit(1)) > 1).alias("repeated"))
+    same = lambda a, b: [F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")), F.col(f"{a}.h") == F.col(f"{b}.h")]
+    kept = kept.alias("p").join(many.alias("k"), same("p", "k"), "left").select("p.doc_id", "p.h", (F.coalesce("n", F.lit(1)) > 1).alias("repeated"))
     kept = staged(kept, "kept")
-    names = [F.col(f"d.{c}") for c in docs.columns]
-    single = rows.join(kept.where("not repeated").alias("k"), key, "left_semi").select(*names)
-    first = rows.join(kept.where("repeated").alias("k"), key, "left_semi").dropDuplicates(["doc_id", "h"]).select(*docs.columns)
+    single = rows.alias("d").join(kept.where("not repeated").alias("k"), same("d", "k"), "left_semi").select("row.*")
+    first = rows.alias("d").join(kept.where("repeated").alias("k"), same("d", "k"), "left_semi").dropDuplicates(["doc_id", "h"]).select("row.*")
     return single.unionByName(first)
