@@ -1,5 +1,6 @@
 import hashlib
 import math
+import os
 import zlib
 from collections import Counter, defaultdict
 
@@ -121,6 +122,35 @@ def test_linear_programme_beats_one_size_at_a_time():
     assert made == 105
 
 
+@given(st.lists(st.tuples(st.integers(1, 40), st.integers(1, 30)), min_size=1, max_size=20, unique_by=lambda x: x[0]), st.integers(1, 12))
+@settings(max_examples=60, deadline=None)
+def test_groups_are_of_equal_cardinality_and_round_up(lengths, groups):
+    lengths = sorted(lengths, reverse=True)
+    found = packing.equal_groups(lengths, groups)
+    total = sum(n for _, n in lengths)
+    size = -(-total // groups)
+    assert sum(n for some in found.values() for _, n in some) == total and len(found) <= groups
+    assert all(length <= rounded for rounded, some in found.items() for length, _ in some)
+    assert Counter(x for some in found.values() for x, n in some for _ in range(n)) == Counter(x for x, n in lengths for _ in range(n))
+    order = [x for x, n in lengths for _ in range(n)]  # a group is rounded up to its own longest
+    assert set(found) == {order[k] for k in range(0, total, size)}
+
+
+def test_configurations_hold_several_large_pieces():
+    ((counts, uses),) = [(c, u) for c, u in packing.configurations([2500, 1500], [40, 40], 4096) if u > 0.5]
+    assert counts.tolist() == [1, 1] and uses == pytest.approx(40)
+    for groups, large in packing.GROUPINGS:  # every grouping has large pieces to plan: none is best fit alone
+        runs, made = packing.plan({2500: 40, 1500: 40, 90: 40}, 4096, groups, large)
+        assert made == 40 and groups > 1 and large > 2
+        assert sum(n for length, _, n, _, _ in runs if length == 2500) == 40
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no tables here")
+def test_packing_reaches_the_bound_on_a_corpus(spark):
+    got = queries.QUERIES["op2_best_fit_packing"](spark, "/root/testdata/sf0.01").collect()
+    assert len({r.sequence_id for r in got}) <= -(-sum(r.length for r in got) // 4096) + 1
+
+
 # decontamination
 
 
@@ -244,6 +274,78 @@ def test_language_learns_and_rejects(spark):
             assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
 
 
+def naive_bayes(docs, unseen, bits=15):
+    """doc -> (language, score) by counting in a dict: n-grams of 1 to 3 code points of the lower-cased text between blanks."""
+
+    def buckets(text):
+        codes = [ord(c) for c in f" {text.lower()} "]
+        for at in range(len(codes)):
+            h = 0
+            for n, mix in enumerate((0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)[: len(codes) - at]):
+                h = (h ^ codes[at + n]) * mix & 0xFFFFFFFF
+                h ^= h >> 15
+                yield (h * 0x9E3779B1 & 0xFFFFFFFF) >> 32 - bits
+
+    counts, texts = defaultdict(Counter), Counter()
+    for d, text, lang in docs:
+        if text is not None and lang is not None and not unseen(d):
+            counts[lang].update(buckets(text))
+            texts[lang] += 1
+    size = 1 << bits
+    total = {x: sum(c.values()) + size / 2 for x, c in counts.items()}
+    own = {x: sum((n + 0.5) / total[x] * math.log((n + 0.5) / total[x]) for n in c.values()) + (size - len(c)) * 0.5 / total[x] * math.log(0.5 / total[x]) for x, c in counts.items()}
+    prior = {x: math.log((texts[x] + 1) / (sum(texts.values()) + len(texts))) for x in counts}
+    out = []
+    for d, text, _ in docs:
+        if not text or not any(c.isalpha() for c in text):
+            out.append((d, "und", 0.0))
+            continue
+        grams = list(buckets(text))
+        sums = {x: sum(math.log((counts[x][g] + 0.5) / total[x]) for g in grams) for x in counts}
+        best = max(sorted(sums), key=lambda x: sums[x] + prior[x])
+        odds = 1 / sum(math.exp(min(50, sums[x] + prior[x] - sums[best] - prior[best])) for x in sums)
+        out.append((d, best, odds * math.exp(min(0, sums[best] / len(grams) - own[best]))))
+    return out
+
+
+def test_language_equals_plain_naive_bayes(docs):
+    unseen = lambda d: zlib.crc32(str("" if d is None else d).encode()) % 4 == 2
+    expected = sorted((key(d), lang, score) for d, lang, score in naive_bayes([(d, t, x) for d, t, x, *_ in rows()], unseen))
+    got = sorted((key(r.doc_id), r.lang_pred, r.score) for r in language.predicted(docs).collect())
+    for g, e in zip(got, expected, strict=True):
+        assert g[:2] == e[:2] and g[2] == pytest.approx(e[2], rel=1e-3, abs=1e-9)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no tables here")
+def test_held_out_languages_are_told(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = queries.QUERIES["op5_language_id"](spark, "/root/testdata/sf0.01").join(docs.select("doc_id", "lang", "text"), "doc_id").where("lang is not null")
+    unseen = found.where("held_out").collect()
+    assert len(unseen) > 150 and sum(r.lang_pred == r.lang for r in unseen) >= 0.99 * len(unseen)
+    assert all(0 <= r.score <= 1 for r in unseen) and min(r.score for r in unseen) < 0.9
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no tables here")
+def test_score_falls_for_what_was_not_learned(spark):
+    learned = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    strange = ["Это простой русский текст о погоде и природе нашей страны.", "今天天气很好我们去公园散步吧大家一起来", "@@@ ### 123 a $$$ %%% 999", "<div><p>html</p></div>"]
+    both = learned.unionByName(documents(spark, [(-1 - k, t, None, "s", len(t)) for k, t in enumerate(strange)]).select(learned.columns))
+    found = language.cross_predicted(both, keep=("doc_id", "lang")).collect()
+    assert max(r.score for r in found if r.doc_id < 0) < 0.05
+    assert max(r.score for r in found if r.doc_id in (-1, -2)) < 0.02
+    prose_ = [r for r in found if r.doc_id >= 0 and r.lang]
+    assert sum(r.score > 0.02 and r.lang_pred == r.lang for r in prose_) >= 0.99 * len(prose_)
+
+
+def test_no_document_is_judged_by_itself(spark):
+    """A text in a language of its own, of which there is nothing else to learn from, is not told."""
+    docs = documents(spark, [(k, prose(k, 80), "en", "s", 0) for k in range(20)] + [(99, "жизнь как чудо и река", "ru", "s", 0)])
+    found = language.identify(docs, language.train(docs)).where("doc_id = 99").first()
+    assert found.lang_pred == "ru"
+    found = language.cross_predicted(docs, keep=("doc_id",)).where("doc_id = 99").first()
+    assert found.lang_pred == "en" and found.score < 0.5
+
+
 def test_language_without_labels(spark):
     assert {r.lang_pred for r in language.predicted(documents(spark, [(1, "text", None, None, 4)])).collect()} == {"und"}
 

@@ -1,10 +1,12 @@
 import os
+from collections import Counter
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tests.llm.helpers import WORDS, prose
+from tests.llm.helpers import SCHEMA, WORDS, prose, rows
 from tonnage.llm import queries
 
 DATA = "/root/testdata/sf0.001"
@@ -31,6 +33,40 @@ def test_stages_act_on_what_is_left(spark, tmp_path):
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == left["packing"]
 
 
+CLASHING = ("score", "lang_pred", "kept", "n_removed", "ranges", "contaminated", "items", "spans", "h", "fp", "node", "row", "d", "th", "k", "__text", "__0", "a b", "length", "offset")
+
+
+def awkward(spark, data):
+    """Documents whose further columns are named like the ones that the operators make inside, each with a value of its own."""
+    df = spark.createDataFrame(data, SCHEMA)
+    return df.select("*", *(F.concat(F.lit(f"{c}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).alias(c) for c in CLASHING))
+
+
+@pytest.mark.parametrize(("name", "stage"), corpus_pipeline.STAGES[:-1])
+def test_stages_change_no_other_column(spark, tmp_path, name, stage):
+    """Nulls, empty and repeated rows, clashing names: each row that stays has the values it had."""
+    docs = awkward(spark, rows())
+    spark.createDataFrame([(1, rows()[9][1]), (2, None)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    out = stage(spark, docs, str(tmp_path))
+    assert out.columns == docs.columns and [f.dataType for f in out.schema] == [f.dataType for f in docs.schema]
+    changed = {"text", "n_chars"} if name == "line_dedup" else set()
+    columns = [c for c in docs.columns if c not in changed]
+    before, after = (Counter(tuple(r[c] for c in columns) for r in df.collect()) for df in (docs, out))
+    assert not after - before
+    left = {"language_id": len(rows()) - 4, "line_dedup": len(rows()), "near_dedup": None, "decontamination": len(rows()) - 3}[name]
+    assert left is None or sum(after.values()) == left
+    if name == "near_dedup":
+        texts = [r.text for r in out.collect()]
+        assert len(texts) == len(set(texts)) and sum(not (t or "").strip() for t in texts) == 1
+
+
+@pytest.mark.parametrize(("name", "stage"), corpus_pipeline.STAGES)
+def test_stages_of_an_empty_table(spark, tmp_path, name, stage):
+    spark.createDataFrame([(1, "a b")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    out = stage(spark, awkward(spark, []), str(tmp_path))
+    assert out.count() == 0 and (name == "packing" or out.columns == awkward(spark, []).columns)
+
+
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no tables here")
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_equals_its_oracle(spark, name):

@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tonnage.llm.common import remembered, staged, text_bytes
 
@@ -68,9 +69,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, bl
     n_blocks = max(1, -(-total // block_words))
     kept = [F.col(c).alias(f"__{k}") for k, c in enumerate(keep)]
     scanned = docs.select(*kept, F.col("text").alias("__text"), F.lit(None).cast("array<long>").alias("__hit"), F.lit(None).cast("array<string>").alias("__items"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in scanned.schema)
-    carried = kinds.rsplit(", `__text`", 1)[0]
-    out = f"{carried}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<string>, spans array<struct<start: long, end: long>>"
+    kinds = scanned.schema
+    added = T._parse_datatype_string("n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<string>, spans array<struct<start: long, end: long>>")
+    out = T.StructType([*kinds.fields[: len(keep)], *added.fields])
     for block in range(n_blocks):
         mine = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks)) == block)
         shared = spark.sparkContext.broadcast([(r["item"], bytes(r["text"])) for r in mine.collect()])

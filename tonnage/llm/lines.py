@@ -17,6 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tonnage.llm.common import forget, slices, staged, text_bytes
 from tonnage.llm.repeats import merged, with_lists
@@ -113,8 +114,8 @@ def without_repeated_runs(docs: DataFrame, *, run: int = 2, long_words: int = 20
     keyed = docs.select(*(F.col(c).alias(n) for c, n in zip(keep, names)), "doc_id", F.xxhash64("text").alias("th"), "text")
     lists = repeated_runs(keyed, run, long_words).groupBy("doc_id", "th").agg(F.collect_list(F.struct("first", "n")).alias("ranges"))
     joined = with_lists(keyed, lists, "left").select(*names, "text", "ranges")
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema[: len(keep)])
-    out = joined.mapInArrow(_delete(len(keep)), f"{kinds}, n_lines long, n_removed long, n_runs long, kept string")
+    added = T._parse_datatype_string("n_lines long, n_removed long, n_runs long, kept string")
+    out = joined.mapInArrow(_delete(len(keep)), T.StructType([*joined.schema.fields[: len(keep)], *added.fields]))
     return out.select(*(F.col(n).alias(c) for c, n in zip(keep, names)), "n_lines", "n_removed", "n_runs", "kept")
 
 

@@ -4,8 +4,8 @@ The plan is made on the histogram of piece lengths, which has ``capacity`` entri
 many documents there are.  Large pieces are dealt into groups of equal cardinality and rounded up to
 their group's longest; a linear programme over the few sizes left (column generation, an unbounded
 knapsack prices new configurations) says how often each configuration is used.  Whole uses become
-sequences, actual lengths take the rounded ones' places, and everything else goes, longest first,
-where it fits best.  The plan is a list of runs: ranks [r, r + n) of one length go to sequences
+sequences, actual lengths take the rounded ones' places; what they leave over is grouped again.
+Everything else goes, longest first, where it fits best.  The plan is a list of runs: ranks [r, r + n) of one length go to sequences
 [s, s + n) at one offset.  Ranks within a length are dealt by salted windows, so a length that a
 third of all pieces share is spread over many tasks.
 """
@@ -114,37 +114,41 @@ class _Sequences:
         return room, first, n
 
 
-def plan(histogram: dict[int, int], capacity: int, groups: int = 32, large: int = 8) -> tuple[list[Run], int]:
-    """Runs that place every piece of ``histogram`` (length to count), and the number of sequences."""
-    runs: list[Run] = []
-    used: dict[int, int] = defaultdict(int)
-    out = _Sequences(capacity)
-    # large pieces in groups of equal cardinality, each rounded up to its longest
-    big = sorted((x for x in histogram if x > capacity // large), reverse=True)
-    total = sum(histogram[x] for x in big)
-    members: list[list[list[int]]] = []
-    size = max(1, -(-total // groups))
-    room = 0
-    for length in big:
-        left = histogram[length]
+def equal_groups(lengths: list[tuple[int, int]], groups: int) -> dict[int, list[list[int]]]:
+    """(length, pieces), longest first, in groups of equal cardinality: rounded length to the [length, pieces] it stands for."""
+    size = max(1, -(-sum(n for _, n in lengths) // groups))
+    found: dict[int, list[list[int]]] = defaultdict(list)
+    longest = room = 0
+    for length, left in lengths:
         while left:
             if not room:
-                members.append([])
-                room = size
+                longest, room = length, size
             n = min(left, room)
-            members[-1].append([length, n])
+            found[longest].append([length, n])
             left, room = left - n, room - n
-    if members:
-        by_size: dict[int, list[list[int]]] = defaultdict(list)
-        for group in members:
-            by_size[group[0][0]] += group
-        sizes = sorted(by_size, reverse=True)
+    return found
+
+
+def plan(histogram: dict[int, int], capacity: int, groups: int = 64, large: int = 3) -> tuple[list[Run], int]:
+    """Runs that place every piece of ``histogram`` (length to count), and the number of sequences.
+
+    Pieces longer than ``capacity`` / ``large`` are grouped and go by configurations.  What whole uses leave over is
+    grouped anew, in finer groups since there are fewer pieces, until a programme has no whole use.
+    """
+    runs: list[Run] = []
+    used: dict[int, int] = defaultdict(int)
+    out = _Sequences(capacity)
+    big = sorted((x for x in histogram if x > capacity // large), reverse=True)
+    while True:
+        left = [(x, histogram[x] - used[x]) for x in big if histogram[x] > used[x]]
+        # few lengths need no rounding
+        by_size = {x: [[x, n]] for x, n in left} if len(left) <= groups else equal_groups(left, groups)
+        sizes, before = sorted(by_size, reverse=True), out.made
         demand = [sum(n for _, n in by_size[x]) for x in sizes]
-        queues = [[list(x) for x in by_size[s]] for s in sizes]
-        for counts, uses in configurations(sizes, demand, capacity):
-            n = int(uses + 1e-9)
+        queues = [by_size[s] for s in sizes]
+        for counts, uses in configurations(sizes, demand, capacity) if sizes else ():
             slots = [g for g, k in enumerate(counts.tolist()) for _ in range(k)]
-            n = min([n, *(sum(x[1] for x in queues[g]) // int(counts[g]) for g in set(slots))]) if slots else 0
+            n = min([int(uses + 1e-9), *(sum(x[1] for x in queues[g]) // int(counts[g]) for g in set(slots))]) if slots else 0
             # stretches of these sequences in which every slot keeps one actual length
             filled = [(0, n, 0)] if n > 0 else []
             for g in slots:
@@ -164,6 +168,8 @@ def plan(histogram: dict[int, int], capacity: int, groups: int = 32, large: int
             for first, count, offset in filled:
                 out.give(capacity - offset, out.made + first, count)
             out.made += max(0, n)
+        if out.made == before:
+            break
     # what is left, longest first, into the least room that takes it
     for length in sorted(histogram, reverse=True):
         left = histogram[length] - used[length]
@@ -195,9 +201,20 @@ def plan(histogram: dict[int, int], capacity: int, groups: int = 32, large: int
     return runs, out.made
 
 
+#: Groups and the least large piece (as the divisor of the capacity) of the plans that are tried in turn.
+GROUPINGS = ((64, 3), (128, 3), (32, 8), (64, 6))
+
+
 def best_plan(histogram: dict[int, int], capacity: int) -> tuple[list[Run], int]:
-    """The plan with fewest sequences over a few groupings."""
-    return min((plan(histogram, capacity, groups, large) for groups, large in ((32, 8), (64, 6), (24, 4), (1, 1))), key=lambda x: x[1])
+    """The plan with fewest sequences over a few groupings; none can have fewer than the pieces' sum needs."""
+    bound = -(-sum(length * n for length, n in histogram.items()) // capacity)
+    best: tuple[list[Run], int] | None = None
+    for groups, large in GROUPINGS:
+        found = plan(histogram, capacity, groups, large)
+        best = found if best is None or found[1] < best[1] else best
+        if best[1] == bound:
+            break
+    return best
 
 
 def packed(pieces: DataFrame, capacity: int, salt_rows: int = 1_000_000, salts: int = 1024) -> DataFrame:
