@@ -32,4 +32,4 @@ def query(sql: str | None = None):
     return register
 
 
-from tonnage.plans import queries_aggregates, queries_columns, queries_domain, queries_extensions, queries_joins, queries_rules  # noqa: E402, F401
+from tonnage.plans import queries_aggregates, queries_columns, queries_domain, queries_extensions, queries_joins, queries_rules, queries_validation  # noqa: E402, F401
