@@ -32,8 +32,8 @@ def build(folder: str, out: str, ingested_at: datetime | None = None) -> integri
     counted = corpus.counters(raw).first().asDict()
     manifest = integrity.write_dataset(tables, out, f"corpus-{pinned.archive_sha256[:16]}", sources=[{"source_id": pinned.source_id, "sha256": pinned.archive_sha256}], lineage=[{"step": "build", "counters": counted, "unrecognised": [r.asDict() for r in corpus.unrecognised(raw).orderBy("n", "column", "value", ascending=[False, True, True]).limit(1000).collect()]}])
     derived = history.athlete_histories(integrity.read_dataset(spark, out))
-    text = ", ".join(f"{f.name} {'bigint' if f.dataType.simpleString() == 'bigint' else f.dataType.simpleString()}" for f in derived.schema)
-    spec = {"athlete_history": TableSpec("athlete_history", "derived", ("athlete_id",), ("athlete_id",), text)}
+    fields = tuple((f.name, f.dataType.simpleString()) for f in derived.schema)
+    spec = {"athlete_history": TableSpec("athlete_history", "derived", ("athlete_id",), ("athlete_id",), fields)}
     integrity.write_dataset({"athlete_history": derived}, integrity.located(out, "derived"), "athlete-history", parent_digest=manifest.digest(), specs=spec)
     return manifest
 
