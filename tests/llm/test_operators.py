@@ -507,6 +507,39 @@ def test_archives_round_trip(spark):
     assert shown == [(1, n, "revisit", 6), (2, n, "revisit", 6), (3, 0, "revisit", 4), (4, 0, "response", None), (5, 2, "response", None), (5, 2, "response", None), (6, n, "response", None), (None, n, "revisit", 6)]
 
 
+@pytest.mark.parametrize("slots", [64, 1 << 23])
+def test_archives_whatever_the_bitmap_says(spark, monkeypatch, slots):
+    """A map of 64 bits takes most digests for shared: the join that follows decides."""
+    monkeypatch.setattr(warc, "_SLOTS", slots)
+    rng = np.random.default_rng(7)
+    pages = [(int(k) if k else None, f"http://x/{n}", f"page {p}" if p < 150 else None if p < 160 else "") for n, (k, p) in enumerate(zip(rng.integers(0, 300, 400), rng.integers(0, 170, 400)))]
+    largest = defaultdict(lambda: -1)
+    sizes = Counter()
+    for k, _, html in pages:
+        largest[html or ""] = max(largest[html or ""], -1 if k is None else k)
+        sizes[html or ""] += 1
+    expected = Counter()
+    for k, _, html in pages:
+        top = largest[html or ""]
+        revisit = sizes[html or ""] > 1 and top >= 0 and k != top
+        expected[k, len(html or ""), "revisit" if revisit else "response", top if revisit else None] += 1
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    assert Counter((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in warc.archived(df).collect()) == expected
+
+
+def test_archives_are_read_in_pieces():
+    import gzip
+
+    record = lambda k, n: b"WARC/1.1\r\nWARC-Type: response\r\nX: %d\r\nContent-Length: %d\r\n\r\n" % (k, n) + b"\r\n\r\n" * (n // 4) + b"y" * (n % 4) + b"\r\n\r\n"
+    sizes = [0, 3, 17, 70_000, 1, 0, 2_000_003]
+    packed = gzip.compress(b"".join(record(k, n) for k, n in enumerate(sizes[:4]))) + gzip.compress(b"".join(record(k + 4, n) for k, n in enumerate(sizes[4:])))
+    for step in (1000, 1 << 20):
+        got = [(int(h[b"x"]), len(block)) for h, block in warc.parse(warc.inflated(packed, step))]
+        assert got == list(enumerate(sizes))
+    with pytest.raises(ValueError, match="ends inside"):
+        list(warc.parse([record(0, 50)[:-10]]))
+
+
 def test_small_payloads_stay_responses(spark):
     pages = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcd"), (4, "u", "abcd")], "page_id long, url string, html string")
     assert {r.page_id: r.record_type for r in warc.archived(pages, min_bytes=3).collect()} == {1: "response", 2: "response", 3: "revisit", 4: "response"}
