@@ -7,7 +7,8 @@ machine, so suffixes are first brought together that can be equal:
 1. Every string of ``length`` bytes has an anchor, the least of the hashes of its ``GRAM``-byte
    substrings.  Equal strings have equal anchors at equal distances, so only the contexts of anchors
    that occur more than once matter.  Anchors (one in about 32 bytes) are dealt by their hash.
-2. Of equal contexts of an anchor all but the first are repeats as a whole.
+2. Of equal contexts of an anchor all but the first are repeats as a whole.  Each task keeps the first
+   of those it has read before it deals them, and a bucket keeps the first of those it has met.
 3. The different contexts of an anchor are joined into a text whose suffixes are sorted by linear
    grouping (:mod:`tonnage.llm.suffixes`); equal strings are then neighbours, and all but the
    first of each class are repeats.
@@ -35,6 +36,8 @@ _BYTE = np.random.Generator(np.random.PCG64(0x7265)).integers(0, 1 << 63, 256, d
 #: An anchor as it is dealt: hash, digest of its context, document (index), first string, strings.
 _ANCHOR = np.dtype([("h", "<u8"), ("c", "<u8"), ("doc", "<u4"), ("at", "<u4"), ("n", "<u2")])
 _DOC = np.dtype([("none", "?"), ("doc", "<i8"), ("th", "<i8")])
+#: Set in an anchor's number of strings if the task that read it has met an equal context before it: a repeat, whatever others meet.
+_REPEAT = 0x8000
 
 
 def _sliding(pick, values: np.ndarray, n: int) -> np.ndarray:
@@ -97,73 +100,131 @@ def _from_planes(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, np.uint8).reshape(_ANCHOR.itemsize, -1).T.copy().view(_ANCHOR).ravel()
 
 
-def _deal(length: int, buckets: int):
-    """Anchors in one binary value for each slice and bucket: half the size of rows, and no work by row."""
+def _ordered(tables: list[np.ndarray], parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Documents (in order, none last) and the anchors of all ``parts``, sorted by hash, context and place; equal ones once."""
+    base = np.repeat(np.cumsum([0, *map(len, tables)])[:-1], [len(x) for x in parts])
+    table, a = np.concatenate(tables), np.concatenate(parts)
+    _, key, again = np.unique(table, return_index=True, return_inverse=True)
+    a["doc"] = again[a["doc"] + base]
+    a = a[np.lexsort((a["at"], a["doc"], a["c"], a["h"]))]
+    fresh = np.ones(len(a), bool)  # rows that are the same document
+    if len(a) > 1:
+        fresh[1:] = (a["h"][1:] != a["h"][:-1]) | (a["c"][1:] != a["c"][:-1]) | (a["doc"][1:] != a["doc"][:-1]) | (a["at"][1:] != a["at"][:-1])
+    return table[key], a[fresh]
+
+
+def _heads(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of sorted anchors: where another hash begins, where another context does."""
+    new_h = np.concatenate(([True], a["h"][1:] != a["h"][:-1]))
+    return new_h, new_h | np.concatenate(([True], a["c"][1:] != a["c"][:-1]))
+
+
+def _deal(length: int, buckets: int, flush_bytes: int = 16 << 20):
+    """Anchors in one binary value for each flush and bucket: half the size of rows, and no work by row."""
+
+    def dealt(tables: list[np.ndarray], parts: list[np.ndarray]) -> pa.RecordBatch:
+        table, found = _ordered(tables, parts)
+        known = ~_heads(found)[1]
+        found["n"][known] |= _REPEAT
+        # repeats need not meet anything: they are spread evenly
+        bucket = (np.where(known, found["c"] ^ found["at"] * np.uint64(0x9E3779B97F4A7C15) ^ table["th"][found["doc"]].view(np.uint64), found["h"]) % np.uint64(buckets)).astype(np.int64)
+        found = found[np.argsort(bucket, kind="stable")]
+        bounds = np.concatenate(([0], np.cumsum(np.bincount(bucket, minlength=buckets))))
+        rows: list[list] = [[], [], []]
+        for k in np.flatnonzero(np.diff(bounds)).tolist():
+            part = found[bounds[k] : bounds[k + 1]].copy()
+            used, part["doc"] = np.unique(part["doc"], return_inverse=True)
+            for column, value in zip(rows, (k, table[used].tobytes(), _planes(part))):
+                column.append(value)
+        return pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), pa.array(rows[1], pa.binary()), pa.array(rows[2], pa.binary())], names=["bucket", "docs", "anchors"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
+        tables: list[np.ndarray] = []
+        parts: list[np.ndarray] = []
         for whole in batches:
             for batch in slices(whole, 2, 2 << 20):
                 found = anchors([x or b"" for x in text_bytes(batch.column(2))], length)
                 if not len(found):
                     continue
-                bucket = (found["h"] % np.uint64(buckets)).astype(np.int64)
-                found = found[np.argsort(bucket, kind="stable")]
-                ids, hashes = batch.column(0), batch.column(1).to_numpy(zero_copy_only=False)
+                ids = batch.column(0)
                 docs = np.zeros(batch.num_rows, _DOC)
-                docs["none"], docs["doc"], docs["th"] = ids.is_null().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy(zero_copy_only=False), hashes
-                bounds = np.concatenate(([0], np.cumsum(np.bincount(bucket, minlength=buckets))))
-                rows: list[list] = [[], [], []]
-                for k in np.flatnonzero(np.diff(bounds)).tolist():
-                    part = found[bounds[k] : bounds[k + 1]].copy()
-                    used, part["doc"] = np.unique(part["doc"], return_inverse=True)
-                    for column, value in zip(rows, (k, docs[used].tobytes(), _planes(part))):
-                        column.append(value)
-                yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), pa.array(rows[1], pa.binary()), pa.array(rows[2], pa.binary())], names=["bucket", "docs", "anchors"])
+                docs["none"], docs["doc"], docs["th"] = ids.is_null().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
+                tables.append(docs)
+                parts.append(found)
+                if sum(map(len, parts)) * _ANCHOR.itemsize > flush_bytes:
+                    yield dealt(tables, parts)
+                    tables, parts = [], []
+        if parts:
+            yield dealt(tables, parts)
 
     return run
 
 
-def _matched(length: int, most_contexts: int):
-    """Of each bucket's anchors: repeats as a whole (kind 0), contexts to sort (1), contexts to class by digest (2)."""
-
-    def solve(docs: list[bytes], parts: list[bytes]) -> Iterator[pa.RecordBatch]:
-        tables, found = [np.frombuffer(x, _DOC) for x in docs], [_from_planes(x) for x in parts]
-        base = np.repeat(np.cumsum([0, *map(len, tables)])[:-1], [len(x) for x in found])
-        table, a = np.concatenate(tables), np.concatenate(found)
-        _, key, again = np.unique(table, return_index=True, return_inverse=True)  # documents in order: none last
-        table, doc = table[key], again[a["doc"] + base]
-        rank = np.lexsort((a["at"], doc, a["c"], a["h"]))
-        a, doc = a[rank], doc[rank]
-        if len(a) > 1:  # rows that are the same document
-            fresh = np.concatenate(([True], (a["h"][1:] != a["h"][:-1]) | (a["c"][1:] != a["c"][:-1]) | (doc[1:] != doc[:-1]) | (a["at"][1:] != a["at"][:-1])))
-            a, doc = a[fresh], doc[fresh]
-        new_h = np.concatenate(([True], a["h"][1:] != a["h"][:-1]))
-        new_c = new_h | np.concatenate(([True], a["c"][1:] != a["c"][:-1]))
-        group = np.cumsum(new_h) - 1
-        contexts = np.bincount(group[new_c])[group]
-        kind = np.where(new_c, np.where(contexts > most_contexts, 2, np.where(contexts > 1, 1, -1)), 0)
-        keep = np.flatnonzero(kind >= 0)
-        for at in range(0, len(keep), 50_000):
-            k = keep[at : at + 50_000]
-            d = table[doc[k]]
+def _matched(length: int, most_contexts: int, most_held: int = 2_000_000):
+    """Of each bucket's anchors: repeats as a whole (kind 0), contexts to sort (1), contexts to class by digest (2).
+
+    What is held of a bucket is thinned as it grows: of equal contexts the first, and nothing of an anchor that has
+    been found to have too many.
+    """
+
+    class Bucket:
+        def __init__(self, number: int) -> None:
+            self.number, self.held, self.limit = number, 0, most_held
+            self.tables: list[np.ndarray] = []
+            self.parts: list[np.ndarray] = []
+            self.crowded = np.zeros(0, np.uint64)
+
+        def add(self, docs: bytes, packed: bytes) -> Iterator[pa.RecordBatch]:
+            table, found = np.frombuffer(docs, _DOC), _from_planes(packed)
+            known = (found["n"] & _REPEAT) > 0
+            if known.any():
+                repeats_ = found[known]
+                repeats_["n"] &= _REPEAT - 1
+                yield from shown(table, repeats_, np.zeros(len(repeats_), np.int8))
+                found = found[~known]
+            self.tables.append(table)
+            self.parts.append(found)
+            self.held += len(found)
+            if self.held > self.limit:
+                yield from self.thin(False)
+                self.limit = max(most_held, 2 * self.held)
+
+        def thin(self, last: bool) -> Iterator[pa.RecordBatch]:
+            table, a = _ordered(self.tables, self.parts)
+            if not len(a):
+                return
+            new_h, new_c = _heads(a)
+            contexts = np.bincount((np.cumsum(new_h) - 1)[new_c])[np.cumsum(new_h) - 1]
+            crowded = (contexts > most_contexts) | np.isin(a["h"], self.crowded)
+            kind = np.where(new_c, np.where(crowded, 2, np.where(contexts > 1, 1, -1) if last else -1), 0)
+            self.crowded = np.union1d(self.crowded, a["h"][crowded])
+            out = kind >= 0
+            yield from shown(table, a[out], kind[out].astype(np.int8))
+            kept = a[~out]
+            used, kept["doc"] = np.unique(kept["doc"], return_inverse=True)
+            self.tables, self.parts, self.held = [table[used]], [kept], len(kept)
+
+    def shown(table: np.ndarray, a: np.ndarray, kind: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(a), 50_000):
+            b = a[at : at + 50_000]
+            d = table[b["doc"]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(kind[k].astype(np.int8)), pa.array(d["doc"], mask=d["none"]), pa.array(d["th"]), pa.array(a["h"][k].view(np.int64)), pa.array(a["at"][k].astype(np.int32)), pa.array(a["n"][k].astype(np.int32))],
+                [pa.array(kind[at : at + 50_000]), pa.array(d["doc"], mask=d["none"]), pa.array(d["th"]), pa.array(b["h"].view(np.int64)), pa.array(b["at"].astype(np.int32)), pa.array(b["n"].astype(np.int32))],
                 names=["kind", "doc_id", "th", "h", "at", "n"],
             )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[int, list[bytes], list[bytes]] | None = None
+        now: Bucket | None = None
         for batch in batches:
             for bucket, docs, found in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                if held and held[0] != bucket:
-                    yield from solve(*held[1:])
-                    held = None
-                held = held or (bucket, [], [])
-                held[1].append(docs)
-                held[2].append(found)
-        if held:
-            yield from solve(*held[1:])
+                if now and now.number != bucket:
+                    yield from now.thin(True)
+                    now = None
+                now = now or Bucket(bucket)
+                yield from now.add(docs, found)
+        if now:
+            yield from now.thin(True)
 
     return run
 
