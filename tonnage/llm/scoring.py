@@ -7,11 +7,13 @@ one has seen (symbol exclusion).  Escapes are estimated from the number of diffe
 (each first occurrence counts half for its byte, half for the escape).  Below the empty context all bytes
 not seen are equally likely.  A document's code length is the sum over its bytes and its end.
 
-Nothing of the trie's or the vocabulary's size goes to one machine.  Documents are read in blocks;
-each block asks, for its distinct byte windows and words, by hash bucket; a bucket holds all windows
-that share their last three context bytes, so it sums their counts and works out all longer contexts
-by itself, and the answers go back to the blocks.  Of shorter contexts there are at most 2^24
-counts; those go to every task.
+Nothing of the trie's or the vocabulary's size goes to one machine.  Documents are read in blocks of a
+bounded size; each block asks, for its distinct byte windows and words, by hash bucket.  A bucket holds
+all windows that share their last three context bytes, so it works out all longer contexts by itself.
+What blocks ask of one bucket is salted: each share of the blocks is summed by itself, the sums (every
+window once) meet in the bucket, and its answers go out to the shares again, which are read a block at
+a time.  So a context that every text has costs no task more than its different windows and its
+share.  Of shorter contexts there are at most 2^24 counts; those go to every task.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ ORDER = 5
 #: Bytes that UTF-8 text cannot hold: before a document's first byte, and after its last.
 _BEFORE, _END = b"\xfe", b"\xff"
 _GRAM = np.dtype([("key", "<u8"), ("n", "<u4")])
+_SUM = np.dtype([("key", "<u8"), ("n", "<i8")])
 _WINDOWS, _WORDS = 0, 1
 
 
@@ -206,40 +209,83 @@ def log_probabilities(keys: np.ndarray, n: np.ndarray, short: tuple[np.ndarray,
     return out
 
 
-def _answer(shared):
-    """Per bucket: what each block asked for, as (key, log probability) and (key, count); and the bucket's words and tokens."""
-
-    def solve(kind: int, blocks: list[int], raws: list[bytes]) -> pa.RecordBatch:
-        tables = [np.frombuffer(x, _GRAM) for x in raws]
-        keys, n = _tally(np.concatenate([t["key"] for t in tables]), np.concatenate([t["n"] for t in tables]))
-        values = log_probabilities(keys, n, shared.value).astype(np.float32) if kind == _WINDOWS else n.astype(np.float64)
-        out, mine = [], {}
-        for block, t in zip(blocks, tables):
-            mine.setdefault(block, []).append(t["key"])
-        for block, asked in mine.items():
-            some = np.unique(np.concatenate(asked))
-            out.append((block, kind, some.tobytes(), values[np.searchsorted(keys, some)].tobytes(), None, None))
-        if kind == _WORDS:
-            out.append((None, kind, None, None, int((n > 0).sum()), int(n.sum())))
-        kinds = (pa.int64(), pa.int8(), pa.binary(), pa.binary(), pa.int64(), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)], names=["block", "kind", "keys", "vals", "words", "tokens"])
+def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """kind, bucket, sums: of each share's rows, which come sorted, every window once."""
+
+    def out(key: tuple, parts: list) -> pa.RecordBatch:
+        keys, n = _tally(*(np.concatenate(x) for x in zip(*parts)))
+        sums = np.empty(len(keys), _SUM)
+        sums["key"], sums["n"] = keys, n
+        return pa.RecordBatch.from_arrays([pa.array([key[0]], pa.int8()), pa.array([key[1]], pa.int32()), pa.array([sums.tobytes()], pa.binary())], names=["kind", "bucket", "sums"])
+
+    now, parts, held = None, [], 0
+    for batch in batches:
+        for *key, raw in zip(*(batch.column(k).to_pylist() for k in range(4))):
+            if now != key and parts:
+                yield out(now, parts)
+                parts, held = [], 0
+            now, grams = key, np.frombuffer(raw, _GRAM)
+            parts.append((grams["key"], grams["n"]))
+            held += len(grams)
+            if held > 4_000_000:
+                parts = [_tally(*(np.concatenate(x) for x in zip(*parts)))]
+                held = len(parts[0][0])
+    if parts:
+        yield out(now, parts)
+
+
+def _solve(shared):
+    """kind, bucket, keys and their log probabilities or counts, and the bucket's words and tokens, of each bucket's sums."""
+
+    def out(key: tuple, parts: list) -> pa.RecordBatch:
+        keys, n = _tally(*(np.concatenate(x) for x in zip(*parts)))
+        windows_ = key[0] == _WINDOWS
+        values = log_probabilities(keys, n, shared.value).astype(np.float32) if windows_ else n.astype(np.float64)
+        columns = ([key[0]], pa.int8()), ([key[1]], pa.int32()), ([keys.tobytes()], pa.binary()), ([values.tobytes()], pa.binary()), ([0 if windows_ else int((n > 0).sum())], pa.int64()), ([0 if windows_ else int(n.sum())], pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(*x) for x in columns], names=["kind", "bucket", "keys", "vals", "words", "tokens"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        now, parts = None, []
         for batch in batches:
-            for kind, bucket, block, raw in zip(*(batch.column(k).to_pylist() for k in range(4))):
-                if held and held[0] != (kind, bucket):
-                    yield solve(held[0][0], *held[1:])
-                    held = None
-                held = held or ((kind, bucket), [], [])
-                held[1].append(block)
-                held[2].append(raw)
-        if held:
-            yield solve(held[0][0], *held[1:])
+            for *key, raw in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                if now != key and parts:
+                    yield out(now, parts)
+                    parts = []
+                now, sums = key, np.frombuffer(raw, _SUM)
+                parts.append((sums["key"], sums["n"]))
+                if sum(len(x) for x, _ in parts) > 8_000_000:
+                    parts = [_tally(*(np.concatenate(x) for x in zip(*parts)))]
+        if parts:
+            yield out(now, parts)
 
     return run
 
 
+def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """block, kind, keys, vals: what each block asked for.  A share's rows come sorted: the bucket's answers, then its blocks'."""
+    keys = values = None
+    rows: list[tuple] = []
+    held = 0
+
+    def out() -> pa.RecordBatch:
+        kinds = (pa.int64(), pa.int8(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=["block", "kind", "keys", "vals"])
+
+    for batch in batches:
+        for kind, block, raw, vals in zip(*(batch.column(k).to_pylist() for k in range(4))):
+            if vals is not None:
+                keys, values = np.frombuffer(raw, np.uint64), np.frombuffer(vals, np.float32 if kind == _WINDOWS else np.float64)
+                continue
+            asked = np.frombuffer(raw, _GRAM)["key"]  # every key once, in order
+            rows.append((block, kind, asked.tobytes(), values[np.searchsorted(keys, asked)].tobytes()))
+            held += len(raw)
+            if held > 8 << 20:
+                yield out()
+                rows, held = [], 0
+    if rows:
+        yield out()
+
+
 class _Lookup:
     """Values of sorted distinct keys: most are found in one slot of a sparse table, the rest by bisection."""
 
@@ -301,14 +347,15 @@ def _score(vocabulary: int, tokens: int):
     return run
 
 
-def scored(docs: DataFrame, *, block: Column | None = None, folds: int = 5, fold: int = 1, buckets: int | None = None) -> DataFrame:
+def scored(docs: DataFrame, *, block: Column | None = None, folds: int = 5, fold: int = 1, buckets: int | None = None, salts: int | None = None) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row.
 
     ``score`` is the log10 probability of the words, lower-cased and joined by blanks, and the end;
-    ``base_score`` that of the same words and end by smoothed word counts.  ``block`` (a long) brings
-    documents together that are scored together, some 30 MB each; rows read together are best.  Null
-    text: the end alone.  A null doc_id hashes as empty text; repeated rows give a row each.  Without
-    training rows all bytes and all words are equally likely.  An empty table gives no rows.
+    ``base_score`` that of the same words and end by smoothed word counts.  Single log probabilities are
+    rounded to 32 bits: a score is exact to a part in 10^7.  ``block`` (a long) brings documents together
+    that are scored together, some 30 MB each; rows read together are best.  Null text: the end alone.  A
+    null doc_id hashes as empty text; repeated rows give a row each.  Without training rows all bytes and
+    all words are equally likely.  An empty table gives no rows.
     """
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.length("text"))).first()[0] or 0
@@ -316,20 +363,37 @@ def scored(docs: DataFrame, *, block: Column | None = None, folds: int = 5, fold
         block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, size >> 24)))
     if buckets is None:
         buckets = int(max(16, size // (12 << 20)))
+    if salts is None:  # shares of some 64 blocks
+        salts = int(max(1, size >> 30))
     rows = docs.select(block.cast("long").alias("block"), "doc_id", held_out("doc_id", folds, fold).alias("held_out"), "text")
     asked = staged(rows.select("block", "held_out", "text").mapInArrow(_ask(buckets), "block long, kind byte, bucket int, grams binary"), "asked")
     short = asked.where(F.col("kind") == _WINDOWS).select("grams").mapInArrow(_short_counts, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     table = short.orderBy("key").toPandas()  # at most 2^24 rows
     shared = spark.sparkContext.broadcast((table["key"].to_numpy(np.uint64), table["n"].to_numpy(np.int64)))
-    dealt = asked.select("kind", "bucket", "block", "grams").repartition(2 * buckets, "kind", "bucket").sortWithinPartitions("kind", "bucket")
-    answers = staged(dealt.mapInArrow(_answer(shared), "block long, kind byte, keys binary, vals binary, words long, tokens long"), "answers")
-    known = answers.where("block is null").agg(F.sum("words"), F.sum("tokens")).first()
+    shares = ["kind", "bucket", "salt"]
+    salted = asked.withColumn("salt", F.pmod(F.xxhash64("block"), F.lit(salts)).cast("int"))
+    sums = salted.select(*shares, "grams").repartition(2 * buckets, *shares).sortWithinPartitions(*shares).mapInArrow(_combine, "kind byte, bucket int, sums binary")
+    solved = sums.repartition(2 * buckets, "kind", "bucket").sortWithinPartitions("kind", "bucket").mapInArrow(_solve(shared), "kind byte, bucket int, keys binary, vals binary, words long, tokens long")
+    solved = staged(solved, "solved")
+    known = solved.agg(F.sum("words"), F.sum("tokens")).first()
+    given = solved.select("kind", "bucket", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), F.lit(0).alias("turn"), F.lit(None).cast("long").alias("block"), "keys", "vals")
+    wanted = salted.select(*shares, F.lit(1).alias("turn"), "block", F.col("grams").alias("keys"), F.lit(None).cast("binary").alias("vals"))
+    both = given.unionByName(wanted).repartition(2 * buckets, *shares).sortWithinPartitions(*shares, "turn").select("kind", "block", "keys", "vals")
+    answers = staged(both.mapInArrow(_answer, "block long, kind byte, keys binary, vals binary"), "answers")
     out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    back = answers.where("block is not null").select("block", "kind", "keys", "vals")
-    return rows.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(_score(known[0] or 0, known[1] or 0), out)
+    return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(known[0] or 0, known[1] or 0), out)
 
 
-def file_blocks(docs: DataFrame, rows: int = 8192) -> tuple[DataFrame, Column]:
-    """``docs``, read from Parquet, with the block of each row: its file and its place in it, however files are split."""
+def file_blocks(docs: DataFrame, rows: int = 8192, block_bytes: int = 64 << 20) -> tuple[DataFrame, Column]:
+    """``docs``, read from Parquet, with the block of each row: its file and its place in it, however files are split.
+
+    Of a file's stretches of ``rows`` rows those of more than ``block_bytes`` are cut into as many blocks, by a count
+    of their bytes; a document of that size is as large as its block.
+    """
     found = docs.select("*", F.xxhash64("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
-    return found, F.xxhash64("__file", F.floor(F.col("__row") / rows))
+    stretch = F.floor(F.col("__row") / rows)
+    sizes = found.groupBy("__file", stretch.alias("__stretch")).agg(F.sum(F.octet_length("text")).alias("bytes"))
+    large = sizes.where(F.col("bytes") > block_bytes).select("__file", "__stretch", F.ceil(F.col("bytes") / block_bytes).alias("__parts"))
+    cut = found.withColumn("__stretch", stretch).join(staged(large, "large-stretches"), ["__file", "__stretch"], "left")
+    part = F.floor(F.col("__row") % rows * F.coalesce("__parts", F.lit(1)) / rows)
+    return cut, F.xxhash64("__file", "__stretch", part)
