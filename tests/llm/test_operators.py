@@ -9,6 +9,7 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import documents, prose, rows
 from tonnage.llm import decontamination, fingerprints, language, lines, packing, queries, repeats, scoring, simhash, suffixes, token_files, warc
@@ -190,7 +191,8 @@ def test_empty_benchmark_hits_nothing(spark, docs):
 # language-model scores
 
 
-def test_scores_equal_a_plain_model(docs):
+@pytest.mark.parametrize(("buckets", "salts"), [(5, 1), (3, 4)])
+def test_scores_equal_a_plain_model(docs, buckets, salts):
     words, counts, order = Counter(), defaultdict(Counter), scoring.ORDER
     lists = [(d, (t or "").encode().translate(LOWER).split()) for d, t, *_ in rows()]
     unseen = lambda d: zlib.crc32(str("" if d is None else d).encode()) % 5 == 1
@@ -221,12 +223,20 @@ def test_scores_equal_a_plain_model(docs):
         s = b"\xfe" * order + b" ".join(w) + b"\xff"
         base = sum(math.log10((words.get(x, 0) + 0.5) / (n + 0.5 * (v + 1))) for x in [*w, None])
         expected.append((key(d), unseen(d), len(w) + 1, sum(x in words for x in [*w, None]), n, base, sum(log10(s[k - order : k], s[k]) for k in range(order, len(s)))))
-    got = [(key(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in scoring.scored(docs, buckets=5).collect()]
+    got = [(key(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in scoring.scored(docs, block=F.pmod(F.xxhash64("text"), F.lit(6)), buckets=buckets, salts=salts).collect()]
     for g, e in zip(sorted(got), sorted(expected), strict=True):
         assert g[:5] == e[:5]
         assert g[5:] == pytest.approx(e[5:], rel=1e-6)
 
 
+def test_blocks_of_long_documents_are_cut(spark, tmp_path):
+    texts = [("ab " * 400, "x")[k % 50 < 40] for k in range(300)]
+    spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "d"))
+    docs_, block = scoring.file_blocks(spark.read.parquet(str(tmp_path / "d")), rows=100, block_bytes=10_000)
+    held = docs_.groupBy(block.alias("b")).agg(F.sum(F.length("text")).alias("n"), F.count("*").alias("rows")).collect()
+    assert sum(r.rows for r in held) == 300 and len(held) >= 9 and max(r.n for r in held) <= 2.5 * 10_000
+
+
 # repeated strings
 
 
@@ -239,8 +249,6 @@ def test_suffix_arrays(texts):
 
 @pytest.mark.parametrize("most_contexts", [256, 1])
 def test_repeats_equal_brute_force(docs, spark, most_contexts):
-    from pyspark.sql import functions as F
-
     hashes = {(r.doc_id, r.text): r.th for r in docs.select("doc_id", "text", F.xxhash64("text").alias("th")).collect()}
     order = sorted({((*key(d), hashes[d, t]), t or "") for d, t, *_ in rows()})
     seen, kept = set(), {}
@@ -256,6 +264,26 @@ def test_repeats_equal_brute_force(docs, spark, most_contexts):
     assert got == Counter((key(d), *kept[key(d), t or ""]) for d, t, *_ in rows())
 
 
+@pytest.mark.parametrize("most_held", [5, 2_000_000])
+def test_a_bucket_is_thinned_without_loss(spark, monkeypatch, most_held):
+    """A passage that a third of the documents share, between words that differ: what a bucket holds stays small and the result is brute force's."""
+    passage = prose(77, 45)
+    texts = [f"{prose(300 + k, 12)} {passage} {prose(600 + k, 12)}" if k % 3 == 0 else prose(900 + k, 40) for k in range(90)]
+    full = repeats._matched
+    monkeypatch.setattr(repeats, "_matched", lambda length, most: full(length, most, most_held))
+    seen, expected = set(), {}
+    for d, t in enumerate(texts):
+        raw, gone = t.encode(), set()
+        for k in range(len(raw) - 99):
+            if raw[k : k + 100] in seen:
+                gone.update(range(k, k + 100))
+            seen.add(raw[k : k + 100])
+        expected[d] = bytes(x for k, x in enumerate(raw) if k not in gone)
+    docs_ = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    got = {r.doc_id: bytes(r.kept) for r in repeats.without_repeats(docs_, most_contexts=4).collect()}
+    assert got == expected and sum(map(len, got.values())) < 0.85 * sum(map(len, texts))
+
+
 # language
 
 
@@ -369,8 +397,6 @@ def test_long_line_is_a_run(spark):
 
 
 def test_fingerprints_equal_single_texts(docs, spark):
-    from pyspark.sql import functions as F
-
     hashes = {(r.doc_id, r.text): r.th for r in docs.select("doc_id", "text", F.xxhash64(F.coalesce(F.col("text").cast("binary"), F.lit(b""))).alias("th")).collect()}
     order = sorted(((d is None, -(d or 0), hashes[d, t]), t or "", d) for d, t, *_ in rows())
     expected = []
@@ -384,6 +410,30 @@ def test_fingerprints_equal_single_texts(docs, spark):
         assert got == Counter(expected)
 
 
+def plain_chunks(text):
+    """Lengths of the chunks of ``text``, byte by byte: the gear hash of a place is a sum over the 32 bytes up to it."""
+    gear, cuts, last = [int(x) for x in fingerprints._GEAR], [], 0
+    for p in range(1, len(text) + 1):
+        size = p - last
+        h = sum(gear[text[p - 1 - k]] << k for k in range(32)) & 0xFFFFFFFF if p >= 32 else 0xFFFFFFFF
+        if p == len(text) or size == fingerprints.MOST or (size >= fingerprints.WANTED and h >> 28 == 0) or (size >= fingerprints.LEAST and h >> 26 == 0):
+            cuts.append(size)
+            last = p
+    return cuts
+
+
+@given(st.lists(st.one_of(st.binary(max_size=700), st.integers(0, 40).map(lambda k: prose(k, 150).encode()), st.integers(1, 600).map(lambda n: b"a" * n)), min_size=1, max_size=4))
+@settings(max_examples=40, deadline=None)
+def test_chunks_equal_byte_by_byte_chunking(texts):
+    for text, got in zip(texts, fingerprints.fingerprints(texts), strict=True):
+        expected, at = Counter(), 0
+        for n in plain_chunks(text):
+            expected[xxhash.xxh3_64_hexdigest(text[at : at + n])] += n
+            at += n
+        assert got == dict(expected) and sum(got.values()) == len(text)
+        assert fingerprints.likeness(got, got) == 1.0
+
+
 def test_fingerprint_survives_a_shift():
     text = rows()[14][1].encode()
     a, b = fingerprints.fingerprints([text])[0], fingerprints.fingerprints([b"inserted " + text])[0]

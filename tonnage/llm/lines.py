@@ -119,16 +119,22 @@ def without_repeated_runs(docs: DataFrame, *, run: int = 2, long_words: int = 20
     return out.select(*(F.col(n).alias(c) for c, n in zip(keep, names)), "n_lines", "n_removed", "n_runs", "kept")
 
 
-#: The same figures in SQL: strings of two lines, and of one long line, by their text.
+#: The same figures in SQL: strings of two lines, and of one long line, by their text; a blank line goes if both lines about it do.
 ORACLE = r"""
 WITH a AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
-l AS (SELECT doc_id, line, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS i FROM a WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+l AS (SELECT doc_id, line, pos, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS i FROM a WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 s AS (
   SELECT doc_id, i, 2 AS n, line || chr(10) || lead(line) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM l
   UNION ALL SELECT doc_id, i, 1, line FROM l WHERE len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= 20),
 f AS (SELECT n, k, min({'doc_id': doc_id, 'i': i}) AS first FROM s WHERE k IS NOT NULL GROUP BY n, k HAVING count(*) > 1),
 g AS (SELECT DISTINCT doc_id, unnest(range(i, i + s.n)) AS i FROM s JOIN f ON s.n = f.n AND s.k = f.k WHERE doc_id <> first.doc_id OR i <> first.i),
-r AS (SELECT doc_id, count(*) AS n_removed, count(*) FILTER (opens) AS n_runs FROM (SELECT doc_id, i, coalesce(i > 1 + lag(i) OVER (PARTITION BY doc_id ORDER BY i), true) AS opens FROM g) GROUP BY doc_id)
-SELECT doc_id, CAST((SELECT count(*) FROM l WHERE l.doc_id = d.doc_id) AS BIGINT) AS n_lines, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs
-FROM documents d LEFT JOIN r USING (doc_id)
+r AS (SELECT doc_id, count(*) AS n_removed, count(*) FILTER (opens) AS n_runs FROM (SELECT doc_id, i, coalesce(i > 1 + lag(i) OVER (PARTITION BY doc_id ORDER BY i), true) AS opens FROM g) GROUP BY doc_id),
+o AS (SELECT doc_id, a.line, pos, i, last_value(i IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY pos) AS before, count(*) OVER (PARTITION BY doc_id) AS lines FROM a LEFT JOIN l USING (doc_id, pos)),
+q AS (
+  SELECT o.doc_id, string_agg(line || CASE WHEN pos < lines THEN chr(10) ELSE '' END, '' ORDER BY pos) AS kept
+  FROM o LEFT JOIN g AS x ON x.doc_id = o.doc_id AND x.i = o.before LEFT JOIN g AS y ON y.doc_id = o.doc_id AND y.i = o.before + 1
+  WHERE CASE WHEN o.i IS NOT NULL THEN x.i IS NULL ELSE x.i IS NULL OR y.i IS NULL END GROUP BY o.doc_id)
+SELECT doc_id, CAST((SELECT count(*) FROM l WHERE l.doc_id = d.doc_id) AS BIGINT) AS n_lines, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN r USING (doc_id) LEFT JOIN q USING (doc_id)
 """
