@@ -195,3 +195,35 @@ def test_header_drift(tmp_path):
     source.require_header((*columns, "New"), allow_unknown=("New",))
     with pytest.raises(source.SourceError):
         source.resolve_within(tmp_path, "../x")
+
+
+def test_rows_are_numbered_through_the_files_of_a_folder(spark, tmp_path):
+    for k, n in enumerate((3, 0, 700)):
+        write_csv(tmp_path / f"part-{k}.csv", [{"Name": f"N{k}.{i}", "Date": "2024-01-01"} for i in range(n)])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "6000")
+    try:
+        got = {r["row_ordinal"]: r["Name"] for r in source.read_csv(spark, f"file://{tmp_path}").select("row_ordinal", "Name").collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == dict(enumerate([f"N0.{i}" for i in range(3)] + [f"N2.{i}" for i in range(700)]))
+
+
+def test_tree_digest_sees_rows_and_not_partitions(spark):
+    df = spark.range(500).select(F.col("id").cast("string").alias("key"), (F.col("id") / 7).alias("x"))
+    one = integrity.tree_digest(df.repartition(1), "t", ["key"], ["key"])
+    assert one == integrity.tree_digest(df.repartition(7, "x"), "t", ["key"], ["key"])
+    assert one != integrity.tree_digest(df.withColumn("x", F.when(F.col("key") == "7", 1.5).otherwise(F.col("x"))), "t", ["key"], ["key"])
+    assert one != integrity.tree_digest(df.where("key <> '7'"), "t", ["key"], ["key"])
+
+
+def test_units_see_what_is_absent(tables):
+    """A load, a value or a unit that is null disagrees; an absent bodyweight must not become zero."""
+    bad = dict(tables)
+    bad["competition_attempt"] = tables["competition_attempt"].withColumns({"load_kg": F.when(F.col("attempt_number") == 1, F.lit(None).cast("double")).otherwise(F.col("load_kg")), "load_raw": F.when(F.col("attempt_number") == 2, F.lit(None).cast("double")).otherwise(F.col("load_raw"))})
+    bad["competition_reported_result"] = tables["competition_reported_result"].withColumns({"value": F.when(F.col("result_kind") == "total", F.lit(None).cast("double")).otherwise(F.col("value")), "unit": F.when(F.col("result_kind") == "dots", F.lit("kg")).otherwise(F.col("unit"))})
+    bad["competition"] = tables["competition"].withColumn("bodyweight_kg", F.coalesce("bodyweight_kg", F.lit(0.0)))
+    found = audit.units(bad)
+    first = tables["competition_attempt"].where("attempt_number in (1, 2)").count()
+    assert found["attempt_load_kg_mismatches"] == first and found["reported_value_mismatches"] == found["reported_totals_checked"] == 2
+    assert found["scoring_rows_claiming_a_mass_unit"] == 1 and found["bodyweight_absent_became_zero"] == len(ROWS) - found["bodyweight_rows_checked"] > 0
+    assert found["total"] == sum(found[x] for x in audit.UNIT_MISMATCHES)

@@ -24,6 +24,12 @@ from tonnage.plans.schema import TABLES
 ENCODING = "psd-canonical-content/2"
 RUN_LOCAL = ("ingested_at",)
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+#: Forms of a table's digest: by shares, or serial as published digests are.
+DIGESTS = ("tree", "serial")
+_LEAVES = 4096
+#: How tables are stored.
+PARQUET = {"compression": "zstd", "parquet.compression.codec.zstd.level": "3", "parquet.block.row.count.limit": "65536", "parquet.enable.dictionary": "false", "parquet.column.statistics.enabled": "false"}
+_FILE_ROWS = 8_000_000
 
 
 def in_order(df: DataFrame, order: list[str] | tuple[str, ...]) -> DataFrame:
@@ -92,6 +98,48 @@ def content_digest(df: DataFrame, table: str, order: list[str] | tuple[str, ...]
         rows.unpersist()
 
 
+def tree_digest(df: DataFrame, table: str, order: list[str] | tuple[str, ...], key: list[str] | tuple[str, ...]) -> str:
+    """SHA-256 over a header and the digests of ``_LEAVES`` shares of the rows, which are dealt by ``key`` and each in order.
+
+    It says the same of the rows as :func:`content_digest` and has another value: shares are digested where they
+    lie, so nothing but their digests comes to the driver.  Neither partitions nor files change it.
+    """
+    names = [c for c in df.columns if c not in RUN_LOCAL]
+    leaf = F.pmod(F.xxhash64(*key), F.lit(_LEAVES)).cast("int")
+    dealt = df.withColumn("__leaf", leaf).repartition("__leaf").sortWithinPartitions("__leaf", *(F.col(c).asc_nulls_last() for c in order))
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, n = None, hashlib.sha256(), 0
+
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([n], pa.int64()), pa.array([held.hexdigest()])], names=["leaf", "n", "digest"])
+
+        for batch in batches:
+            leaves = batch.column(0).to_pylist()
+            for encoded in _encoded([batch.select(batch.schema.names[1:])]):
+                for leaf, row in zip(leaves, encoded.column(0).to_pylist()):
+                    if leaf != now:
+                        if now is not None:
+                            yield out()
+                        now, held, n = leaf, hashlib.sha256(), 0
+                    held.update(row)
+                    n += 1
+        if now is not None:
+            yield out()
+
+    found = dealt.select("__leaf", *names).mapInArrow(digest, "leaf int, n long, digest string").orderBy("leaf").collect()
+    head = f"{ENCODING}/tree\ntable:{table}\ncolumns:{','.join(names)}\nrows:{sum(r['n'] for r in found)}\n"
+    return hashlib.sha256((head + "".join(f"{r['leaf']}:{r['digest']}\n" for r in found)).encode()).hexdigest()
+
+
+def _digest(df: DataFrame, spec, form: str | None) -> str | None:
+    if form is None:
+        return None
+    if form not in DIGESTS:
+        raise ValueError(f"{form} is none of {DIGESTS}")
+    return tree_digest(df, spec.name, spec.order, spec.primary_key) if form == "tree" else content_digest(df, spec.name, spec.order)
+
+
 def parallel_digest(df: DataFrame) -> str:
     """An order-free digest of all rows by commutative sums: an extension, not the content digest."""
     h = F.xxhash64(*(F.col(c) for c in df.columns if c not in RUN_LOCAL))
@@ -169,8 +217,11 @@ def _files(spark: SparkSession, where: str) -> dict[str, str]:
     return {r["name"]: r["digest"] for r in named.orderBy("name").collect()}
 
 
-def write_dataset(tables: dict[str, DataFrame], folder: str | Path, dataset_id: str, *, digests: bool = True, parent_digest: str | None = None, specs: dict | None = None, **more) -> Manifest:
-    """Parquet per table, in its declared order, with a manifest beside it.  Unknown tables and other schemas are refused."""
+def write_dataset(tables: dict[str, DataFrame], folder: str | Path, dataset_id: str, *, digests: str | None = "tree", parent_digest: str | None = None, specs: dict | None = None, **more) -> Manifest:
+    """Parquet per table, in its declared order, with a manifest beside it.  Unknown tables and other schemas are refused.
+
+    ``digests`` is the form of the tables' digests; ``serial`` ones equal published digests and pass through the driver.
+    """
     specs = TABLES if specs is None else specs
     manifest = Manifest(dataset_id, parent_digest=parent_digest, environment=environment(), **more)
     spark = next(iter(tables.values())).sparkSession
@@ -181,9 +232,9 @@ def write_dataset(tables: dict[str, DataFrame], folder: str | Path, dataset_id:
         require_total_order(spec.order, spec.primary_key)
         where = located(folder, "tables", f"{name}.parquet")
         # a range of the order per file, sorted inside: files by name are the total order
-        in_order(df, spec.order).write.mode("overwrite").option("compression", "zstd").option("parquet.enable.dictionary", "false").parquet(where)
+        in_order(df, spec.order).write.mode("overwrite").options(**PARQUET, maxRecordsPerFile=_FILE_ROWS).parquet(where)
         written = spark.read.schema(spec.schema).parquet(where)
-        manifest.artifacts[name] = {"rows": written.count(), "content_digest": content_digest(written, name, spec.order) if digests else None, "files": _files(spark, where)}
+        manifest.artifacts[name] = {"rows": written.count(), "content_digest": _digest(written, spec, digests), "digest_form": digests, "files": _files(spark, where)}
     write_bytes(spark, located(folder, "manifest.json"), manifest.to_json())
     return manifest
 
@@ -240,13 +291,13 @@ def verify_dataset(spark: SparkSession, folder: str | Path, *, specs: dict | Non
         if not there:
             problems.append(f"{name}: no files")
             continue
-        if spark.read.parquet(where).columns != spec.columns:
+        if [(f.name, f.dataType) for f in spark.read.parquet(where).schema] != [(f.name, f.dataType) for f in spec.schema]:
             problems.append(f"{name}: the files have other columns")
         if there != said["files"]:
             problems.append(f"{name}: files differ")
         if tables[name].count() != said["rows"]:
             problems.append(f"{name}: rows differ")
-        if said["content_digest"] and content_digest(tables[name], name, spec.order) != said["content_digest"]:
+        if said["content_digest"] and _digest(tables[name], spec, said.get("digest_form") or "serial") != said["content_digest"]:
             problems.append(f"{name}: content differs")
         if excess := duplicate_excess(tables[name], list(spec.primary_key)).first()[0]:
             problems.append(f"{name}: {excess} rows repeat a key")

@@ -92,12 +92,16 @@ def invariant_table(t: Tables):
     return fused.unpivot([], fused.columns, "name", "observed").unionByName(broken).withColumn("expected", F.lit(0).cast("long"))
 
 
-@query()
+_DIGESTED = """concat('I', o_orderkey, ';I', o_custkey, ';', CASE WHEN o_orderstatus IS NULL THEN 'N;' ELSE concat('S', strlen(o_orderstatus), ':', o_orderstatus, ';') END, strftime(o_orderdate, 'T%Y-%m-%dT%H:%M:%S.%fZ;'), CASE WHEN o_totalprice > 200000 THEN 'B1;' ELSE 'B0;' END)"""
+
+
+@query(f"""SELECT 'orders' AS name, sha256(concat('psd-canonical-content/2', chr(10), 'table:orders', chr(10), 'columns:o_orderkey,o_custkey,status,at,large', chr(10), 'excluded:', chr(10), 'rows:', count(*), chr(10), string_agg(row_, '' ORDER BY o_orderkey))) AS digest
+FROM (SELECT *, {_DIGESTED} AS row_ FROM (SELECT * REPLACE (nullif(o_orderstatus, 'P') AS o_orderstatus) FROM orders))""")
 def content_digest_rows(t: Tables):
     from tonnage.operators.integrity import content_digest
 
-    found = content_digest(t.nation, "nation", ["n_nationkey"])
-    return t.spark.createDataFrame([("nation", found)], "name string, digest string")
+    rows = t.orders.select("o_orderkey", "o_custkey", F.nullif("o_orderstatus", F.lit("P")).alias("status"), F.col("o_orderdate").cast("timestamp").alias("at"), (F.col("o_totalprice") > 200000).alias("large"))
+    return t.spark.createDataFrame([("orders", content_digest(rows, "orders", ["o_orderkey"]))], "name string, digest string")
 
 
 @query("SELECT CAST(count(*) AS BIGINT) AS n, CAST(bit_xor(CAST(('0x' || substr(md5(CAST(o_orderkey AS VARCHAR) || '|' || o_orderstatus), 1, 15)) AS BIGINT)) AS BIGINT) AS digest FROM orders")
@@ -106,11 +110,59 @@ def parallel_digest(t: Tables):
     return t.orders.agg(F.count("*").alias("n"), F.bit_xor(row).alias("digest"))
 
 
-@query()
+#: Labels with what the vocabulary makes of them by the rules of the ladder, worked out by hand.
+LADDER = (
+    ("squat", "exact_canonical", "canonical_identity", "squat", "squat", None),
+    ("  LOW bar   Squat!", "exact_canonical", "canonical_identity", "low_bar_squat", "squat", None),
+    ("Bench Variation", "partial_family", "curated_ambiguous", None, "bench", "unspecified_variation"),
+    ("chest press", "ambiguous", "curated_ambiguous", None, "unknown", "unspecified_implement"),
+    ("Comp Squat", "resolved_alias", "registered_alias", "squat", "squat", None),
+    ("Conv DL", "resolved_alias", "registered_alias", "conventional_deadlift", "deadlift", None),
+    ("legpress", "exact_canonical", "canonical_identity", "leg_press", "accessory", None),
+    ("Flat Bench Press", "resolved_alias", "cross_source_alias", "bench", "bench", None),
+    ("Sumo Deadlift?", "ambiguous", "question_form", None, "deadlift", "question_form_label"),
+    ("Squat variations heavy", "partial_family", "generic_qualifier", None, "squat", "unspecified_variation"),
+    ("Squat with friends", "partial_family", "family_keyword", None, "squat", "unknown_source_taxonomy"),
+    ("swimming", "unmapped", "no_match", None, None, None),
+    ("", "unmapped", "no_match", None, None, None),
+    ("Wide grip bench 3x5", "resolved_alias", "structured_interpretation", "wide_grip_bench", "bench", None),
+)
+
+
+def _literal(x: str | None) -> str:
+    return "NULL" if x is None else f"'{x}'"
+
+
+@query("WITH l(k, raw_label, resolution_status, resolution_method, exercise_key, parent_lift, ambiguity_reason) AS (VALUES " + ", ".join(f"({k}, {', '.join(map(_literal, row))})" for k, row in enumerate(LADDER))
+    + f") SELECT p_partkey, l.* EXCLUDE (k) FROM part JOIN l ON k = p_partkey % {len(LADDER)}")
 def label_normalize_ladder(t: Tables):
-    from tonnage.operators.labels import Vocabulary, resolve
+    from tonnage.operators.exercises import vocabulary
+    from tonnage.operators.labels import resolve
+
+    labels = F.array(*(F.lit(row[0]) for row in LADDER))
+    asked = t.part.select("p_partkey", F.get(labels, (F.col("p_partkey") % len(LADDER)).cast("int")).alias("raw_label"), F.lit("generic_csv").alias("source_system"))
+    found = resolve(asked.select("raw_label", "source_system").distinct(), vocabulary())
+    return asked.join(found, ["raw_label", "source_system"]).select("p_partkey", "raw_label", "resolution_status", "resolution_method", "exercise_key", "parent_lift", "ambiguity_reason")
+
+
+#: Labels, and what normalization makes of them, worked out by hand.
+NORMALIZED = (
+    ("DB Bench-Press", "dumbbell benchpress"), ("Pause  Squats", "pause squat"), ("ＯＨＰ", "overheadpress"), ("Élévation latérale", "elevation laterale"), ("2ct bench", "2 count bench"),
+    ("Good mornings", "goodmorning"), ("T-Bar rows", "t bar row"), ("lat pull down", "latpulldown"), ("???", ""), ("Lat Pulldowns", "latpulldown"), ("Straße", "strasse"),
+)
+
+
+@query("WITH l(k, raw_label, normalized_label) AS (VALUES " + ", ".join(f"({k}, '{raw}', '{text}')" for k, (raw, text) in enumerate(NORMALIZED)) + f") SELECT p_partkey, raw_label, normalized_label FROM part JOIN l ON k = p_partkey % {len(NORMALIZED)}")
+def label_normal_form(t: Tables):
+    from tonnage.operators.labels import parsed
+
+    labels = F.array(*(F.lit(raw) for raw, _ in NORMALIZED))
+    asked = t.part.select("p_partkey", F.get(labels, (F.col("p_partkey") % len(NORMALIZED)).cast("int")).alias("raw_label"))
+    return asked.withColumn("p", parsed("raw_label")).select("p_partkey", "raw_label", F.col("p.text").alias("normalized_label"))
+
+
+@query(f"""SELECT resolution_status, CAST(count(*) AS BIGINT) AS n FROM (VALUES {", ".join(f"({k}, '{row[1]}')" for k, row in enumerate(LADDER))}) l(k, resolution_status) JOIN part ON k = p_partkey % {len(LADDER)} GROUP BY resolution_status""")
+def label_coverage(t: Tables):
+    from tonnage.operators.labels import coverage
 
-    brand = [r[0] for r in t.part.select("p_type").distinct().orderBy("p_type").limit(8).collect()]
-    words = Vocabulary.of([{"key": f"type_{k}", "name": b} for k, b in enumerate(brand)], [], [])
-    labels = t.part.select(F.col("p_type").alias("raw_label"), F.lit("generic_csv").alias("source_system"))
-    return resolve(labels, words)
+    return coverage(label_normalize_ladder(t))

@@ -64,19 +64,23 @@ def require_header(header: tuple[str, ...], allow_unknown: tuple[str, ...] = ())
 
 
 def read_csv(spark: SparkSession, path: str, header: tuple[str, ...] = COLUMNS) -> DataFrame:
-    """All columns as text, empty cells null, with the zero-based number of each row in the file.
+    """All columns as text, empty cells null, with the zero-based number of each row, header lines left out.
 
-    The format has no quoting, so lines are rows.  A row's number is the number of lines in the splits
-    before its own, known from one counting pass (a row a split, which every task can hold), and its place
-    in its split; lines are neither shuffled nor taken out of generated code.
+    ``path`` is a file or a folder of files that each begin with the header; rows are numbered through the
+    files by name.  The format has no quoting, so lines are rows.  A row's number is the number of lines in
+    the splits before its own, known from one counting pass (a row a split, which one task numbers and every
+    task can hold), and its place in its split; lines are neither shuffled nor taken out of generated code.
     """
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("place"))
-    splits = lines.groupBy("split").agg(F.count("*").alias("n"), F.min("place").alias("first"))
-    before = F.coalesce(F.sum("n").over(Window.orderBy("split").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    table = splits.select("split", (before - F.col("first")).alias("shift"))
-    numbered = lines.join(F.broadcast(table), "split").select((F.col("place") + F.col("shift") - 1).alias(ORDINAL), F.col("value").alias("line"))
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("place"))
+    splits = lines.groupBy("file", "split").agg(F.count("*").alias("n"), F.min("place").alias("first"))
+    order = Window.orderBy("file", "split")
+    opens = F.coalesce(F.lag("file").over(order) != F.col("file"), F.lit(True))  # with a header line
+    before = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counted = splits.withColumns({"opens": opens, "before": before}).withColumn("headers", F.sum(F.col("opens").cast("long")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    table = counted.select("file", "split", (F.col("before") - F.col("first") - F.col("headers")).alias("shift"), F.when(F.col("opens"), F.col("first")).otherwise(-1).alias("header"))
+    numbered = lines.join(F.broadcast(table), ["file", "split"]).where(F.col("place") != F.col("header")).select((F.col("place") + F.col("shift")).alias(ORDINAL), F.col("value").alias("line"))
     # cells in a column of their own: split once a row
-    rows = numbered.where((F.col(ORDINAL) >= 0) & (F.length("line") > 0)).select(ORDINAL, F.split(F.rtrim("line", F.lit("\r")), ",", -1).alias("cells"))
+    rows = numbered.where(F.length("line") > 0).select(ORDINAL, F.split(F.rtrim("line", F.lit("\r")), ",", -1).alias("cells"))
     return rows.select(ORDINAL, *(F.nullif(F.get("cells", F.lit(header.index(c))), F.lit("")).alias(c) for c in COLUMNS))
 
 
