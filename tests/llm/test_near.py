@@ -89,3 +89,16 @@ def test_rounds_of_tables_miss_no_link(spark, block):
     edges = simhash.linked(spark.createDataFrame([(v,) for v in values], "fp binary"), segments, 3, 2, block=block)
     roots = {bytes(r.node): bytes(r.root) for r in components(edges).collect()}
     assert len(set(roots.values())) == 20 and len(roots) == len(values)
+
+
+def test_a_dense_group_is_thinned_before_the_steps(spark, monkeypatch):
+    """All pairs of 60 nodes in many small shares: no share leaves more edges than nodes, and the components stay."""
+    from tonnage.llm import components as module
+
+    pairs = [(a, b) for a in range(60) for b in range(a)] + [(1000 + k, 1001 + k) for k in range(0, 30, 2)]
+    edges = spark.createDataFrame(pairs, "a long, b long")
+    monkeypatch.setattr(module, "_SHARE", 300)
+    got = {r.node: r.root for r in module.components(edges).collect()}
+    assert got == {k: 0 for k in range(60)} | {1000 + k: 1000 + k - k % 2 for k in range(30)}
+    label = module.least_labels(np.array([5, 3, 7]), np.array([4, 5, 8]), 9)
+    assert label.tolist() == [0, 1, 2, 3, 3, 3, 6, 7, 7]

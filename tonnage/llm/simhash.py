@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tonnage.llm.common import ASCII_LOWER, forget, staged, text_bytes
-from tonnage.llm.components import components
+from tonnage.llm.components import components, least_labels
 
 #: (positions of the segment's bits in the fingerprint, radius of the ball)
 Segment = tuple[tuple[int, ...], int]
@@ -179,15 +179,7 @@ def _forest(words: int, distance: int):
             for k in range(1, words):
                 apart += np.bitwise_count(values[left, k] ^ values[right, k])
             near = apart <= distance
-            left, right = left[near], right[near]
-            while len(left):
-                least = np.minimum(label[left], label[right])
-                np.minimum.at(label, label[left], least)
-                np.minimum.at(label, label[right], least)
-                while not np.array_equal(label, flat := label[label]):
-                    label = flat
-                open_ = label[left] != label[right]
-                left, right = left[open_], right[open_]
+            label = least_labels(label[left[near]], label[right[near]], n)[label]
             at = stop
         linked = [(k, r) for k, r in enumerate(label.tolist()) if k != r and raw[k] != raw[r]]
         edges = list({(raw[k], raw[r]) for k, r in linked})
