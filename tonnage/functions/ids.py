@@ -47,3 +47,11 @@ def plain_id(kind: str, *parts: str | int | None) -> str:
 
 def is_valid(c: Column) -> Column:
     return c.rlike(VALID)
+
+
+def share(c: Column, n: int = 16) -> Column:
+    """The share of ``n`` (16 at most) that an identifier falls in, by its first hexadecimal digit."""
+    if not 1 <= n <= 16:
+        raise ValueError(f"{n} shares of 16 digits")
+    digit = F.conv(F.substring_index(c, "_", -1).substr(1, 1), 16, 10).cast("int")
+    return F.floor(digit * n / 16).cast("int")

@@ -10,13 +10,14 @@ import subprocess
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass, field
 from datetime import datetime, timedelta, timezone
+from importlib import metadata
 from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonnage.functions.versions import CURRENT
+from tonnage.functions.versions import CURRENT, Version
 from tonnage.operators.rules import duplicate_excess
 from tonnage.plans.schema import TABLES
 
@@ -169,9 +170,20 @@ class Manifest:
 
 
 def environment(root: str = ".") -> dict:
-    """Python, platform and the commit that runs, if there is one."""
-    got = subprocess.run(["git", "-C", root, "rev-parse", "HEAD"], capture_output=True, text=True, check=False)
-    return {"python": platform.python_version(), "platform": platform.platform(), "commit": got.stdout.strip() or None}
+    """Python, its packages that compute, platform and the commit that runs, if there is one, and whether files differ from it."""
+
+    def git(*arguments: str) -> str | None:
+        got = subprocess.run(["git", "-C", root, *arguments], capture_output=True, text=True, check=False)
+        return got.stdout.strip() if got.returncode == 0 else None
+
+    commit = git("rev-parse", "HEAD")
+    packages = {}
+    for name in ("pyspark", "pyarrow", "pandas", "numpy"):
+        try:
+            packages[name] = metadata.version(name)
+        except metadata.PackageNotFoundError:
+            packages[name] = None
+    return {"python": platform.python_version(), "platform": platform.platform(), "packages": packages, "commit": commit, "changed": bool(git("status", "--porcelain")) if commit else None}
 
 
 def located(folder: str | Path, *parts: str) -> str:
@@ -243,13 +255,38 @@ def read_manifest(spark: SparkSession, folder: str | Path) -> Manifest:
     return Manifest(**json.loads(read_text(spark, located(folder, "manifest.json"))))
 
 
-def read_dataset(spark: SparkSession, folder: str | Path, *, specs: dict | None = None) -> dict[str, DataFrame]:
-    """All tables of the model; those that the dataset does not have are empty."""
+def require_readable(spark: SparkSession, folder: str | Path, *, specs: dict | None = None) -> Manifest:
+    """The manifest, if this build reads its versions and every table's files have exactly the canonical columns and types."""
+    specs, manifest = TABLES if specs is None else specs, read_manifest(spark, folder)
+    for name, version in manifest.versions.items():
+        if name not in CURRENT or not Version.parse(version).readable_by(Version.parse(CURRENT[name])):
+            raise ValueError(f"{folder} is of {version}, which this build does not read")
+    for name in manifest.artifacts:
+        if name not in specs:
+            raise ValueError(f"{folder} has an unknown table {name}")
+        there = spark.read.parquet(located(folder, "tables", f"{name}.parquet")).schema
+        if [(f.name, f.dataType) for f in there] != [(f.name, f.dataType) for f in specs[name].schema]:
+            raise ValueError(f"{name} in {folder} does not have the canonical columns")
+    return manifest
+
+
+def read_dataset(spark: SparkSession, folder: str | Path, *, specs: dict | None = None, check: bool = False) -> dict[str, DataFrame]:
+    """All tables of the model; those that the dataset does not have are empty.  ``check`` refuses other versions and schemas."""
     specs = TABLES if specs is None else specs
-    there = read_manifest(spark, folder).artifacts
+    there = (require_readable(spark, folder, specs=specs) if check else read_manifest(spark, folder)).artifacts
     return {n: spark.read.schema(s.schema).parquet(located(folder, "tables", f"{n}.parquet")) if n in there else spark.createDataFrame([], s.schema) for n, s in specs.items()}
 
 
+def read_derived(spark: SparkSession, folder: str | Path, specs: dict, parent: Manifest | None = None) -> dict[str, DataFrame]:
+    """The tables of a derived dataset, if they are what its manifest says and it was made from ``parent``."""
+    manifest = read_manifest(spark, folder)
+    if parent is not None and manifest.parent_digest != parent.digest():
+        raise ValueError(f"{folder} was not made from this dataset")
+    if problems := verify_dataset(spark, folder, specs=specs):
+        raise ValueError("; ".join(problems))
+    return {n: in_order(df, specs[n].order) for n, df in read_dataset(spark, folder, specs=specs).items()}
+
+
 def register_views(spark: SparkSession, folder: str | Path) -> list[str]:
     """The dataset's tables as views for ``spark.sql``; a missing or unreadable one is an error."""
     tables = read_dataset(spark, folder)

@@ -8,8 +8,9 @@ vocabulary.
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tonnage.functions.ids import make_id, plain_id, text_part
+from tonnage.functions.versions import CURRENT
 from tonnage.plans.schema import TABLES
 
 #: Whole-token abbreviations.
@@ -254,5 +256,34 @@ def normalization_table(resolved: DataFrame) -> DataFrame:
     return out.select(*((F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in TABLES["exercise_normalization"].schema))
 
 
+#: When a vocabulary's artifact says it was read: always the same, so that it is the same whenever it is built.
+EPOCH = datetime(2024, 1, 1, tzinfo=timezone.utc)
+
+
+def probe_labels(vocabulary: Vocabulary, probes: Iterable[str], source_system: str = "generic_csv") -> list[tuple[str, str]]:
+    """(label, source system) of every alias, every refusal and ``probes``, each once."""
+    found = {(a["alias"], a["source_system"]): None for a in vocabulary.aliases}
+    found |= {(r["label"], source_system): None for r in vocabulary.refusals}
+    return list(found | {(x, source_system): None for x in sorted(set(probes))})
+
+
+def artifact(spark: SparkSession, vocabulary: Vocabulary, probes: Iterable[str] = ()) -> dict[str, DataFrame]:
+    """The vocabulary as canonical tables: its source, definitions, aliases, and verdicts on all its own labels and ``probes``.
+
+    Verdicts come from :func:`resolve`, successes and refusals alike, so the artifact shows what the vocabulary does.
+    """
+    stamp = {"source_id": f"ontology_{CURRENT['ontology']}", "ingested_at": EPOCH}
+    asked = spark.createDataFrame(probe_labels(vocabulary, probes), "raw_label string, source_system string")
+    verdicts = normalization_table(resolve(asked, vocabulary)).withColumns({"source_id": F.lit(stamp["source_id"]), "ingested_at": F.lit(EPOCH).cast("timestamp"), "ontology_version": F.lit(CURRENT["ontology"]), "mapping_version": F.lit(CURRENT["aliases"])})
+    row = {"source_id": stamp["source_id"], "nature": "reference", "regime": "psd_reference", "publication_basis": "authored_vocabulary", "ingested_at": EPOCH}
+    schema = TABLES["source"].schema
+    return {
+        "source": spark.createDataFrame([tuple(row.get(f.name) for f in schema)], schema),
+        "exercise_definition": definition_table(spark, vocabulary, **stamp),
+        "exercise_alias": alias_table(spark, vocabulary, **stamp),
+        "exercise_normalization": verdicts,
+    }
+
+
 def coverage(resolved: DataFrame) -> DataFrame:
     return resolved.groupBy("resolution_status").agg(F.count("*").alias("n"))

@@ -189,6 +189,10 @@ def snapshot_csv(folder: str | Path) -> Path:
     return path
 
 
+#: Where things lie below a data root.
+LAYOUT = {"snapshots": "raw", "staging": "staging", "canonical": "canonical", "derived": "derived", "ontology": "ontology", "reports": "reports", "logs": "logs", "scratch": "scratch"}
+
+
 def resolve_within(root: str | Path, relative: str) -> Path:
     """``relative`` below ``root``; absolute paths and paths that leave it are refused."""
     base = Path(root).resolve()
