@@ -23,7 +23,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Arrow batches of a few MB: long documents must not add up in a Python worker."""
+    """Arrow batches of a few MB: long documents must not add up in a Python worker.
+
+    Results are lazy, so the setting has to outlast the call: it stays in the session.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
@@ -32,10 +35,12 @@ def scratch(spark: SparkSession, label: str) -> str:
     """A fresh path in the folder that driver and executors share.
 
     The cluster names that folder in ``spark.checkpoint.dir``; only where it is unset (tests on
-    one machine) a temporary folder is made and recorded in the session.
+    one machine) a temporary folder is made and recorded in the session.  On a cluster that names none this is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="tonnage-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
