@@ -23,9 +23,9 @@ from tonnage.llm.queries import word_bpe
 LEAST_SCORE = 0.02
 
 
-def _whole(docs: DataFrame, *columns: str) -> DataFrame:
-    """``docs`` with all its columns in one, ``row``, beside those a stage reads."""
-    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *columns)
+def _whole(docs: DataFrame, *columns: str, without: tuple[str, ...] = ()) -> DataFrame:
+    """``docs`` with all its columns but ``without`` in one, ``row``, beside those a stage reads."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns if c not in without)).alias("row"), *columns)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,9 +42,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later repeated runs of lines are deleted; a document of which nothing is left stays, empty; a null text stays null."""
     small_batches(spark)
-    found = lines.without_repeated_runs(_whole(docs, "doc_id", "text"), run=2, long_words=20, keep=("row",))
+    # the text comes back as it was where nothing goes: it need not travel in the row a second time
+    found = lines.without_repeated_runs(_whole(docs, "doc_id", "text", without=("text",)), run=2, long_words=20, keep=("row",))
     changed = F.col("n_removed") > 0
-    columns = {"text": F.when(changed, F.col("kept")).otherwise(F.col("row.text"))}
+    columns = {"text": F.col("kept")}
     if "n_chars" in docs.columns:
         columns["n_chars"] = F.when(changed, F.length("kept").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row.n_chars"))
     return found.select(*(columns.get(c, F.col("row")[c]).alias(c) for c in docs.columns))

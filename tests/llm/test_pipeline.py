@@ -60,6 +60,18 @@ def test_stages_change_no_other_column(spark, tmp_path, name, stage):
         assert len(texts) == len(set(texts)) and sum(not (t or "").strip() for t in texts) == 1
 
 
+def test_line_dedup_moves_each_text_once(spark, tmp_path, monkeypatch):
+    asked, whole = [], corpus_pipeline.lines.without_repeated_runs
+    monkeypatch.setattr(corpus_pipeline.lines, "without_repeated_runs", lambda docs, **x: asked.append(docs) or whole(docs, **x))
+    data = [(1, b"a b\xff\nc"), (2, b"x y\nz w\n"), (3, b"x y\nz w\nend"), (4, None), (5, b"")]
+    docs = spark.createDataFrame(data, "doc_id long, raw binary").selectExpr("doc_id", "raw as text", "'s' as source")
+    docs.write.parquet(str(tmp_path / "raw"))
+    docs = spark.read.schema("doc_id long, text string, source string").parquet(str(tmp_path / "raw"))  # bytes that are no UTF-8 stay too
+    out = corpus_pipeline.line_dedup(spark, docs, "")
+    assert asked[0].schema["row"].dataType.names == ["doc_id", "source"]
+    assert {r.doc_id: None if r.t is None else bytes(r.t) for r in out.selectExpr("doc_id", "cast(text as binary) as t").collect()} == dict(data[:2]) | {3: b"end", 4: None, 5: b""}
+
+
 @pytest.mark.parametrize(("name", "stage"), corpus_pipeline.STAGES)
 def test_stages_of_an_empty_table(spark, tmp_path, name, stage):
     spark.createDataFrame([(1, "a b")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))

@@ -95,9 +95,12 @@ def _delete(columns: int):
                         kept.append(raw[at : spans[a][0]])
                         at = min(len(raw), spans[z - 1][1] + 1)
                     kept.append(raw[at:])
-                    left = b"".join(kept)
-                    rows.append((len(spans), sum(z - a for a, z in gone), len(gone), None if text is None else left.decode("utf-8", "replace")))
-                added = [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.string()))]
+                    left = text if not gone else b"".join(kept).decode("utf-8", "replace").encode()
+                    rows.append((len(spans), sum(z - a for a, z in gone), len(gone), left))
+                added = [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.binary()))]
+                # bytes as text, unchecked: a text that nothing goes from stays as it is, byte by byte
+                valid, ends, data = added[3].buffers()
+                added[3] = pa.StringArray.from_buffers(len(rows), ends, data, valid)
                 yield pa.RecordBatch.from_arrays([*batch.columns[:columns], *added], names=[*batch.schema.names[:columns], "n_lines", "n_removed", "n_runs", "kept"])
 
     return delete
